@@ -30,8 +30,9 @@ def ratio_or_zero(numerator: Column | str, denominator: Column | str) -> Column:
 
 
 def rounded(value: Column | str, digits: int = 6) -> Column:
-    """Rounded DOUBLE without a negative zero."""
-    return F.round(column(value), digits) + F.lit(0.0)
+    """DOUBLE rounded half up by plain arithmetic; far cheaper per row than the decimal ``round``."""
+    factor = F.lit(float(10**digits))
+    return F.floor(column(value) * factor + 0.5).cast("double") / factor
 
 
 def timestamp(value: Column | str) -> Column:

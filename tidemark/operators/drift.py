@@ -108,14 +108,16 @@ def _cell_distance(both: DataFrame, features: Sequence[str]) -> DataFrame:
     cells = cells.withColumns({"edge": F.abs(b1 - p1), "reach": F.greatest(F.abs(b1 - p0), F.abs(b0 - p1))})
     cells = cells.withColumn("best", F.max("edge").over(whole))
     edges = cells.groupBy("feature").agg(F.max("n").alias("n"), F.max("m").alias("m"), F.max("edge").alias("edge"))
+    key = ["feature", "cell"]
     open_cells = cells.filter((F.col("low") < F.col("high")) & (F.col("reach") > F.col("best"))).select(
         F.col("feature").alias("_feature"), F.col("cell").alias("_cell"), "b0", "p0", "n", "m"
     )
-    key = ["feature", "cell"]
+    open_cells = tally.joinable(open_cells)
     inside = (
-        long.join(tally.joinable(open_cells), match_keys(key))
+        long.join(open_cells, match_keys(key), "left_semi")
         .groupBy(*key, "value")
-        .agg(_in_base().alias("cb"), _in_prod().alias("cp"), *[F.any_value(c).alias(c) for c in ("b0", "p0", "n", "m")])
+        .agg(_in_base().alias("cb"), _in_prod().alias("cp"))
+        .join(open_cells, match_keys(key))
     )
     upto = Window.partitionBy(*key).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     gap = F.abs(

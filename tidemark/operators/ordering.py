@@ -1,7 +1,7 @@
 """Exact order statistics without a one-task sort.
 
-Each feature's value range is cut into ordered *cells*: approximate quantiles give ``bins`` edges,
-and every edge interval is split into ``fan`` equal widths. Edges only steer balance; results are
+Each feature's value range is cut into ordered *cells*: approximate quantiles give the edges, and
+every edge interval is split into ``FAN`` equal widths. Edges only steer balance; results are
 exact for any edges. A tally per cell gives the rank at which the cell starts, so most cells are
 settled from the tally alone and only the cells that matter are looked into value by value. Equal
 values always share a cell and collapse to one counted row before any window runs, so a value held
@@ -14,27 +14,20 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clean_double
 from tidemark.sources.workspace import Summary
 
-BINS = 256
+LEVELS = 8  # up to 2**LEVELS - 1 edges, found by LEVELS halving steps
 FAN = 64
-PLAIN_VALUES = 4_000_000
+PLAIN_VALUES = 5_000_000
 
 
-@dataclass(frozen=True)
-class CellGrid:
-    """Strictly increasing edges per feature and the number of equal widths per edge interval."""
-
-    edges: dict[str, list[float]]
-    fan: int = FAN
+CellGrid = dict[str, list[float]]  # strictly increasing edges per feature
 
 
 def is_small(df: DataFrame, width: int, limit: int = PLAIN_VALUES) -> bool:
@@ -44,54 +37,45 @@ def is_small(df: DataFrame, width: int, limit: int = PLAIN_VALUES) -> bool:
 
 def to_values(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Long rows ``(*keep, feature, value)``, one per non-null feature value."""
-    values = df.select(*keep, *[clean_double(f).alias(f) for f in features])
-    return values.unpivot(list(keep), list(features), "feature", "value").filter(F.col("value").isNotNull())
+    return _explode(df, features, keep).drop("_f")
+
+
+def _explode(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    values = F.array(*[clean_double(f) for f in features])
+    long = df.select(*keep, F.posexplode(values).alias("_f", "value")).filter(F.col("value").isNotNull())
+    names = F.array(*[F.lit(f) for f in features])
+    return long.select(*keep, "_f", F.get(names, F.col("_f")).alias("feature"), "value")
 
 
-def cell_grid(df: DataFrame, features: Sequence[str], bins: int = BINS, fan: int = FAN) -> CellGrid:
+def cell_grid(df: DataFrame, features: Sequence[str]) -> CellGrid:
     """Edges from approximate quantiles: one column-pruned scan, tree-merged sketches."""
+    count = 2**LEVELS - 1
     names = [f"_q{i}" for i in range(len(features))]
     values = df.select(*[clean_double(f).alias(n) for f, n in zip(features, names)])
-    found = values.approxQuantile(names, [i / bins for i in range(bins + 1)], 1 / (4 * bins))
-    edges = {f: sorted({q for q in qs if math.isfinite(q)}) or [0.0] for f, qs in zip(features, found)}
-    return CellGrid(edges, fan)
-
-
-def _doubles(values: list[float]) -> Column:
-    """An array literal; one parsed expression instead of a call per element."""
-    return F.expr(f"array({', '.join(f'{x!r}D' for x in values)})")
-
-
-def _cell(value: Column, bin_: Column, edges: list[float], fan: int) -> Column:
-    low, high = _doubles([edges[0], *edges]), _doubles([*edges, edges[-1]])
-    at = bin_.cast("int")
-    start, stop = F.get(low, at), F.get(high, at)
-    part = F.floor(F.nanvl(F.try_divide(value - start, stop - start) * fan, F.lit(fan - 1.0)))
-    part = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(fan - 1), part)), F.lit(0))
-    return (at * fan + part).cast("int")
+    found = values.approxQuantile(names, [i / (count - 1) for i in range(count)], 1 / (2 * count))
+    return {f: sorted({q for q in qs if math.isfinite(q)}) for f, qs in zip(features, found)}
 
 
 def to_cells(df: DataFrame, grid: CellGrid, keep: Sequence[str] = ()) -> DataFrame:
-    """Long rows ``(*keep, feature, cell, value)``, one per non-null feature value."""
-    features = list(grid.edges)
-    values = [f"_v{i}" for i in range(len(features))]
-    bins = [f"_b{i}" for i in range(len(features))]
-    frame = df.select(*keep, *[clean_double(f).alias(v) for f, v in zip(features, values)])
-    frame = Bucketizer(
-        splitsArray=[[-math.inf, *grid.edges[f], math.inf] for f in features],
-        inputCols=values,
-        outputCols=bins,
-        handleInvalid="keep",
-    ).transform(frame)
-    entries = [
-        F.struct(
-            F.lit(f).alias("feature"),
-            _cell(F.col(v), F.col(b), grid.edges[f], grid.fan).alias("cell"),
-            F.col(v).alias("value"),
-        )
-        for f, v, b in zip(features, values, bins)
-    ]
-    return frame.select(*keep, F.inline(F.array(*entries))).filter(F.col("value").isNotNull())
+    """Long rows ``(*keep, feature, cell, value)``, one per non-null feature value.
+
+    A value's interval is found by halving steps over the padded edges of its feature, then its
+    place inside the interval by proportion. Both never decrease with the value.
+    """
+    size = 2**LEVELS - 1
+    width = size + 2
+    padded = [[-math.inf, *edges, *[math.inf] * (size - len(edges) + 1)] for edges in grid.values()]
+    # one text literal, folded to an array once: a literal per edge would slow the analysis of every step
+    table = F.split(F.lit(",".join(str(x) for edges in padded for x in edges)), ",").cast("array<double>")
+    long = _explode(df, list(grid), keep).withColumn("_at", F.col("_f") * width)
+    for level in reversed(range(LEVELS)):
+        further = F.col("_at") + F.lit(2**level)
+        long = long.withColumn("_at", F.when(F.get(table, further) <= F.col("value"), further).otherwise(F.col("_at")))
+    low, high = F.get(table, F.col("_at")), F.get(table, F.col("_at") + 1)
+    share = F.nanvl((F.col("value") - low) / (high - low), F.lit(1.0))
+    inner = F.least(F.floor(share * FAN), F.lit(FAN - 1))
+    cell = (F.col("_at") - F.col("_f") * width) * FAN + inner
+    return long.select(*keep, "feature", cell.cast("int").alias("cell"), "value")
 
 
 def running_before(counter: str, partition: Sequence[str], order: str) -> Column:
@@ -110,8 +94,6 @@ def exact_quantiles(
     features: Sequence[str],
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    bins: int = BINS,
-    fan: int = FAN,
 ) -> DataFrame:
     """Interpolated quantiles, rows ``(*by, feature, probability, value)``.
 
@@ -119,7 +101,7 @@ def exact_quantiles(
     """
     by = list(by)
     key = [*by, "feature"]
-    long = to_cells(df, cell_grid(df, features, bins, fan), by)
+    long = to_cells(df, cell_grid(df, features), by)
     tally = Summary(long.groupBy(*key, "cell").agg(F.count("*").alias("n")))
     placed = tally.rows.select(
         *key,

@@ -37,7 +37,8 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def rnd(expression: str, digits: int = 6) -> str:
-    return f"round({expression}, {digits}) + 0.0e0"
+    """The SQL twin of ``rounded``."""
+    return f"floor(({expression}) * 1e{digits} + 0.5e0) / 1e{digits}"
 
 
 FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import rounded
 from tidemark.operators import drift
 from tidemark.plans.catalogue.base import CUT, FEATURES, lineitem, long_sql, query, rnd, scored, scored_ctes, tidy
 from tidemark.sources.tables import load_parquet
@@ -100,13 +101,13 @@ def drift_report(spark, folder):
     return tidy(report.withColumn("drifted_features", F.array_join("drifted_features", ",")), 4)
 
 
-SCORE_ROWS = f"SELECT {IS_BASE}, 'prediction_probability' AS feature, round(prediction_probability, 6) AS v FROM scored"
+SCORE_ROWS = f"SELECT {IS_BASE}, 'prediction_probability' AS feature, {rnd('prediction_probability')} AS v FROM scored"
 
 
 @query("prediction_drift", f"WITH {scored_ctes()}, {ks_ctes(SCORE_ROWS)}, {p_ctes('asymp')} SELECT {RESULT} FROM test")
 def prediction_drift(spark, folder):
     rows, cut = scored(spark, folder), F.lit(CUT).cast("timestamp_ntz")
-    rows = rows.withColumn("prediction_probability", F.round("prediction_probability", 6))
+    rows = rows.withColumn("prediction_probability", rounded("prediction_probability"))
     sides = rows.filter(F.col("l_shipdate") < cut), rows.filter(F.col("l_shipdate") >= cut)
     return tidy(drift.prediction_drift(*sides, method="asymp"))
 

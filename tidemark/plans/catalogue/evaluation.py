@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import rounded
 from tidemark.operators import evaluate
 from tidemark.operators.drift import performance_by_window
 from tidemark.operators.scaling import fit_scaler
@@ -136,7 +137,7 @@ def log_loss(spark, folder):
 
 # the score is rounded on both sides: ties must be the same ties in both engines
 ROC_SQL = f"""WITH {scored_ctes()}, long AS ({" UNION ALL ".join(
-    f"SELECT {c} AS class, round(probability_class_{c}, 6) AS v, CAST(target = {c} AS INTEGER) AS y FROM scored" for c in CLASS_IDS)}),
+    f"SELECT {c} AS class, {rnd(f'probability_class_{c}')} AS v, CAST(target = {c} AS INTEGER) AS y FROM scored" for c in CLASS_IDS)}),
 vals AS (SELECT class, v, sum(y) AS pos, sum(1 - y) AS neg FROM long GROUP BY 1, 2),
 run AS (SELECT class, pos, neg, sum(neg) OVER (PARTITION BY class ORDER BY v) - neg AS below FROM vals)
 SELECT class, {rnd("sum(pos * (below + neg / 2.0e0)) / (sum(pos)::DOUBLE * sum(neg)::DOUBLE)")} AS auc, sum(pos)::BIGINT AS support
@@ -145,7 +146,7 @@ FROM run GROUP BY class"""
 
 def _rounded_scores(spark, folder):
     rows = scored(spark, folder)
-    return rows.withColumns({f"probability_class_{c}": F.round(f"probability_class_{c}", 6) for c in CLASS_IDS})
+    return rows.withColumns({f"probability_class_{c}": rounded(f"probability_class_{c}") for c in CLASS_IDS})
 
 
 @query("roc_auc", ROC_SQL)

@@ -27,7 +27,7 @@ from tidemark.sources import predictions as history
 from tidemark.sources.tables import TableSpace
 from tidemark.sources.workspace import fresh_folder
 
-STATS = f"""round(avg(prediction_probability), 6) + 0.0e0 AS avg_confidence, {rnd("min(prediction_probability)")} AS min_confidence,
+STATS = f"""{rnd("avg(prediction_probability)")} AS avg_confidence, {rnd("min(prediction_probability)")} AS min_confidence,
   {rnd("max(prediction_probability)")} AS max_confidence, count(*) FILTER (prediction_probability < 0.7e0) AS low_confidence_count,
   {rnd("count(*) FILTER (prediction_probability < 0.7e0) * 100.0e0 / count(*)")} AS low_confidence_pct, count(*) AS total_predictions,
   min(model_version) AS model_version"""

@@ -89,7 +89,7 @@ def dq_violations(spark, folder):
 
 @query(
     "dq_rejected_rows",
-    """SELECT broken_rules, count(*) AS n, round(sum(l_quantity), 2) + 0.0e0 AS quantity FROM (
+    """SELECT broken_rules, count(*) AS n, sum(l_quantity) AS quantity FROM (
   SELECT concat_ws(',', CASE WHEN l_quantity < 0 OR l_quantity > 45 THEN 'l_quantity_range' END,
     CASE WHEN l_discount > 0.07e0 THEN 'l_discount_range' END,
     CASE WHEN l_extendedprice < 2000 THEN 'l_extendedprice_range' END) AS broken_rules, l_quantity FROM lineitem)
@@ -100,7 +100,7 @@ def dq_rejected_rows(spark, folder):
     rules = {k: v for k, v in _rules(rows).items() if not k.endswith("_type")}
     _, rejected = prep.dq_split(rows, rules)
     return rejected.groupBy(F.array_join("broken_rules", ",").alias("broken_rules")).agg(
-        F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity")
+        F.count("*").alias("n"), F.sum("l_quantity").alias("quantity")
     )
 
 

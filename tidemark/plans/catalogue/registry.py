@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import rounded
 from tidemark.operators import registry
 from tidemark.plans.catalogue.base import query, rnd, tidy
 from tidemark.sources.tables import load_parquet
@@ -17,7 +18,7 @@ live AS (SELECT model_name, alias, version FROM last WHERE op = 'SET'),
 tops AS (SELECT model_name, max(seq) AS top FROM log GROUP BY 1),
 models AS (SELECT DISTINCT model_name FROM log),
 accuracies AS (SELECT 'm' || user_id AS model_name, CAST(event_id % 20 + 1 AS INTEGER) AS version,
-  round(avg(value) / 500, 3) AS accuracy FROM events GROUP BY 1, 2),
+  floor(avg(value) / 500 * 1e3 + 0.5e0) / 1e3 AS accuracy FROM events GROUP BY 1, 2),
 state AS (SELECT m.model_name, p.version AS pv, c.version AS cv FROM models m
   LEFT JOIN live p ON p.model_name = m.model_name AND p.alias = 'production'
   LEFT JOIN live c ON c.model_name = m.model_name AND c.alias = 'challenger'),
@@ -50,7 +51,7 @@ def _accuracies(spark, folder):
     events = load_parquet(spark, folder, "events")
     return events.groupBy(
         F.concat(F.lit("m"), "user_id").alias("model_name"), (F.col("event_id") % 20 + 1).cast("int").alias("version")
-    ).agg(F.round(F.avg("value") / 500, 3).alias("accuracy"))
+    ).agg(rounded(F.avg("value") / 500, 3).alias("accuracy"))
 
 
 def _comparison(spark, folder):

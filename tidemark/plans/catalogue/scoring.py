@@ -55,7 +55,7 @@ EVENT_MODELS = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
 z AS (SELECT event_id, 0.1e0 * r AS z0, -0.2e0 * r + (value / 100.0e0) * (0.3e0 * r) AS z1 FROM events JOIN m USING (event_type)),
 e AS (SELECT event_id, z0, z1, exp(z0 - greatest(z0, z1)) AS e0, exp(z1 - greatest(z0, z1)) AS e1 FROM z)
 SELECT event_id, CASE WHEN z0 >= z1 THEN 0 ELSE 1 END AS predicted_class,
-  round(greatest(e0, e1) / (e0 + e1), 6) + 0.0e0 AS prediction_probability FROM e""",
+  floor(greatest(e0, e1) / (e0 + e1) * 1e6 + 0.5e0) / 1e6 AS prediction_probability FROM e""",
 )
 def score_by_row_model(spark, folder):
     events = load_parquet(spark, folder, "events").withColumn("x", F.col("value") / 100.0)
@@ -104,7 +104,7 @@ def score_wide_vectors(spark, folder):
 
 @query(
     "keyed_alignment_join",
-    """SELECT o_orderkey, o_custkey, round(o_totalprice, 6) + 0.0e0 AS o_totalprice, CAST(o_orderkey % 3 AS INTEGER) AS predicted_class
+    """SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderkey % 3 AS INTEGER) AS predicted_class
 FROM orders WHERE o_orderkey % 7 <> 0""",
 )
 def keyed_alignment_join(spark, folder):
@@ -112,7 +112,7 @@ def keyed_alignment_join(spark, folder):
     predictions = orders.filter("o_orderkey % 7 <> 0").select(
         "o_orderkey", "o_custkey", (F.col("o_orderkey") % 3).cast("int").alias("predicted_class")
     )
-    return tidy(scoring.align_predictions(orders, predictions, ["o_orderkey"]))
+    return scoring.align_predictions(orders, predictions, ["o_orderkey"])
 
 
 @query(

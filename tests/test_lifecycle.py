@@ -25,11 +25,13 @@ def test_whole_lifecycle(spark, raw):
     job = Lifecycle(space, "flowers", SMOKE_FEATURES)
     rules = range_rules({f: (0, None) for f in SMOKE_FEATURES})
     job.prepare(raw, ["id"], rules=rules)
-    assert space.read("iris_train").count() == 120 and space.read("iris_test").count() == 30
+    assert space.read("train").count() == 120 and space.read("test").count() == 30
 
     first = job.train(max_iter=2)
     assert first.version == 1
-    assert {r["metric"] for r in space.read(METRICS).collect()} == {"train_accuracy", "test_accuracy"}
+    logged = {r["metric"]: r["value"] for r in space.read(METRICS).collect()}
+    assert set(logged) == {f"train_{m}" for m in ("accuracy", "precision", "recall", "f1_score", "log_loss", "roc_auc")} | {"test_accuracy"}
+    assert 0.5 < logged["train_roc_auc"] <= 1 and logged["train_log_loss"] > 0
     assert job.compare().first()["status"] == "no_production"
     job.promote()  # no challenger, nothing happens
     assert job.alias_log().count() == 1

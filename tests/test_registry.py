@@ -106,8 +106,8 @@ def test_comparison_promotion_and_discard(spark, contest):
     assert state(after)["win", "production"] == 4
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_version_as_of_matches_brute_force(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_rows, spans_per_model", [(10**6, 10**6), (10**6, 10), (0, 100)])
+def test_version_as_of_matches_brute_force(spark, broadcast_rows, spans_per_model):
     rng = np.random.default_rng(2)
     names = ["hot"] * 6 + ["b", "c"]
     log, preds = [], []
@@ -128,6 +128,7 @@ def test_version_as_of_matches_brute_force(spark, broadcast_rows):
         spark.createDataFrame(log, registry.ALIAS_LOG),
         "at",
         broadcast_rows=broadcast_rows,
+        spans_per_model=spans_per_model,
     )
     rows = found.collect()
     assert len(rows) == len(preds) and {r["id"]: r["version_asof"] for r in rows} == expected

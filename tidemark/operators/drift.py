@@ -52,8 +52,8 @@ def ks_distance(
     )
     if null_policy == "drop":
         return result
-    totals = both.agg(_in_base().alias("tb"), _in_prod().alias("tp"))
-    whole = (F.col("n_base") == totals.select("tb").scalar()) & (F.col("n_prod") == totals.select("tp").scalar())
+    sizes = both.agg(F.struct(_in_base().alias("b"), _in_prod().alias("p"))).scalar()
+    whole = (F.col("n_base") == sizes["b"]) & (F.col("n_prod") == sizes["p"])
     return result.withColumn("drift_score", F.when(whole, F.col("drift_score")))
 
 
@@ -209,14 +209,12 @@ def class_share_drift(base: DataFrame, recent: DataFrame, name: str = "predicted
     """Rows ``(class, baseline_share, recent_share, share_diff)`` over the union of classes."""
     both = base.select(name, F.lit(1).alias("_base")).unionByName(recent.select(name, F.lit(0).alias("_base")))
     both = both.filter(F.col(name).isNotNull())
-    total = both.agg(F.sum("_base").alias("b"), F.sum(1 - F.col("_base")).alias("r"))
-    counts = both.groupBy(F.col(name).alias("class")).agg(
-        F.sum("_base").alias("b"), F.sum(1 - F.col("_base")).alias("r")
-    )
+    counts = Summary(both.groupBy(F.col(name).alias("class")).agg(_in_base().alias("b"), _in_prod().alias("r"))).rows
+    sums = counts.agg(F.struct(F.sum("b").alias("b"), F.sum("r").alias("r"))).scalar()
     return counts.select(
         "class",
-        ratio_or_zero("b", total.select("b").scalar()).alias("baseline_share"),
-        ratio_or_zero("r", total.select("r").scalar()).alias("recent_share"),
+        ratio_or_zero("b", sums["b"]).alias("baseline_share"),
+        ratio_or_zero("r", sums["r"]).alias("recent_share"),
     ).withColumn("share_diff", F.col("recent_share") - F.col("baseline_share"))
 
 

@@ -128,9 +128,10 @@ def exact_quantiles(
     ).filter(F.size("ranks") > 0)
     wanted = tally.joinable(wanted.select(*[F.col(k).alias(f"_{k}") for k in [*key, "cell"]], "start", "ranks"))
     values = (
-        long.join(wanted, match_keys([*key, "cell"]))
+        long.join(wanted, match_keys([*key, "cell"]), "left_semi")
         .groupBy(*key, "cell", "value")
-        .agg(F.count("*").alias("n"), F.any_value("start").alias("start"), F.any_value("ranks").alias("ranks"))
+        .agg(F.count("*").alias("n"))
+        .join(wanted, match_keys([*key, "cell"]))
     )
     ranked = values.withColumn("first", F.col("start") + running_before("n", [*key, "cell"], "value"))
     picked = ranked.select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import clean_double, column, timestamp
 from tidemark.operators.ordering import PLAIN_VALUES, exact_quantiles, is_small, match_keys
 from tidemark.operators.prep import numeric_columns
+from tidemark.sources.workspace import Summary
 
 LOW_CONFIDENCE = 0.7
 STATS = ("count", "mean", "std", "min", "max")
@@ -115,11 +116,10 @@ def non_null_info(df: DataFrame) -> DataFrame:
 
 def value_counts(df: DataFrame, name: str, pct: bool = False) -> DataFrame:
     """Rows ``(name, count[, pct])``, most frequent first, value as tie-break; NULL is dropped."""
-    present = df.filter(F.col(name).isNotNull())
-    counts = present.groupBy(name).agg(F.count("*").alias("count"))
+    counts = df.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("count"))
     if pct:
-        total = present.agg(F.count("*")).scalar()
-        counts = counts.withColumn("pct", F.col("count") / total * 100)
+        counts = Summary(counts).rows  # read twice below, scanned once
+        counts = counts.withColumn("pct", F.col("count") / counts.agg(F.sum("count")).scalar() * 100)
     return counts.orderBy(F.desc("count"), name)
 
 
@@ -134,8 +134,12 @@ def feature_means_by_date(df: DataFrame, day: Column | str, features: Sequence[s
 
 
 def prediction_volume(preds: DataFrame, dimensions: Sequence[str]) -> DataFrame:
-    """Rows per combination of the dimensions plus all subtotals (``level`` 0 = finest)."""
-    return preds.rollup(*dimensions).agg(F.count("*").alias("predictions"), F.grouping_id().alias("level"))
+    """Rows per combination of the dimensions plus all subtotals (``level`` 0 = finest).
+
+    Rows are counted at the finest level first, so only counts are repeated for the subtotals.
+    """
+    finest = preds.groupBy(*dimensions).agg(F.count("*").alias("n"))
+    return finest.rollup(*dimensions).agg(F.sum("n").alias("predictions"), F.grouping_id().alias("level"))
 
 
 def confidence_histogram(preds: DataFrame, confidence: str = "prediction_probability", bins: int = 10) -> DataFrame:

@@ -235,18 +235,23 @@ def production_version_asof(
     alias: str = "production",
     log_ts: str = "ts",
     broadcast_rows: int = 100_000,
+    spans_per_model: int = 100,
 ) -> DataFrame:
     """Adds ``version_asof``: the version behind ``alias`` when each row was made (NULL if none).
 
-    A log proven small is broadcast as validity intervals. Otherwise the distinct (model, time) pairs
-    are resolved inside ordered time cells, each starting from the state carried in from earlier
-    cells, and joined back; no task ever holds a whole model.
+    A log proven small, with few changes per model, is broadcast as validity intervals. Otherwise the
+    distinct (model, time) pairs are resolved inside ordered time cells, each starting from the state
+    carried in from earlier cells, and joined back; no task ever holds a whole model and no row is
+    held against all changes of its model.
     """
     changes = Summary(_changes(log, alias, log_ts), limit=broadcast_rows)
-    if changes.small:
+    if changes.small and changes.rows.groupBy("model_name").count().filter(F.col("count") > spans_per_model).isEmpty():
         window = Window.partitionBy("model_name").orderBy("valid_from")
         spans = changes.rows.withColumn("_to", F.lead("valid_from").over(window)).select(
-            F.col("model_name").alias("_m"), F.col("valid_from").alias("_from"), "_to", F.col("version").alias("version_asof")
+            F.col("model_name").alias("_m"),
+            F.col("valid_from").alias("_from"),
+            "_to",
+            F.col("version").alias("version_asof"),
         )
         match = (
             (F.col("model_name") == F.col("_m"))

@@ -40,8 +40,8 @@ class Lifecycle:
     model_name: str
     features: tuple[str, ...]
     label: str = "target"
-    train_table: str = "iris_train"
-    test_table: str = "iris_test"
+    train_table: str = "train"
+    test_table: str = "test"
 
     # state tables -------------------------------------------------------------------------------
 
@@ -89,7 +89,7 @@ class Lifecycle:
     def train(
         self, max_iter: int = 200, solver: str = "lbfgs", ts: datetime | None = None, run_id: str = "train"
     ) -> LinearModel:
-        """Trains on the prepared rows, logs both accuracies and registers a new version.
+        """Trains on the prepared rows, logs its metrics and registers a new version.
 
         The version becomes ``challenger`` when a production version exists, else ``baseline``.
         """
@@ -101,18 +101,31 @@ class Lifecycle:
         model = train_logreg(
             train, self.features, self.label, max_iter, solver=solver, name=self.model_name, version=version
         )
-        both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-        accuracy = evaluate.evaluate_predictions(score(both, model), self.label, "predicted_class", ["split"]).select(
-            F.concat("split", F.lit("_accuracy")).alias("metric"), F.col("accuracy").alias("value")
-        )
+        self.space.append(self._training_metrics(model, train, test, run_id), METRICS)
         self.space.append(model.to_table(self.space.spark), MODELS)
-        self.space.append(registry.metric_rows(accuracy, run_id, self.model_name, version), METRICS)
         signature = self._this(version=version, signature=model_signature(train, self.features))
         self.space.append(signature, SIGNATURES)
         self._record(events)
         self.space.append(rows, VERSIONS)
         return model
 
+    def _training_metrics(self, model: LinearModel, train: DataFrame, test: DataFrame, run_id: str) -> DataFrame:
+        """Accuracy on both parts, and the weighted metrics, log loss and ROC area on the training part."""
+        both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+        scored = score(both, model)
+        by_split = evaluate.evaluate_predictions(scored, self.label, "predicted_class", ["split"])
+        weighted = evaluate.long_metrics(by_split, ["split"])
+        weighted = weighted.filter((F.col("split") == "train") | (F.col("metric") == "accuracy"))
+        fitted = scored.filter(F.col("split") == "train")
+        loss = evaluate.log_loss(fitted, self.label, model.class_ids).select(
+            F.lit("train_log_loss").alias("metric"), F.col("log_loss").alias("value")
+        )
+        area = evaluate.weighted_auc(evaluate.roc_auc(fitted, self.label, model.class_ids)).select(
+            F.lit("train_roc_auc").alias("metric"), F.col("roc_auc").alias("value")
+        )
+        rows = weighted.select(F.concat_ws("_", "split", "metric").alias("metric"), "value").unionByName(loss).unionByName(area)
+        return registry.metric_rows(rows, run_id, model.name, model.version)
+
     def evaluate_alias(self, alias: str) -> DataFrame:
         """Weighted metrics of the model behind an alias on the test table, with alias and version."""
         model = registry.model_by_alias(self.coefficients(), self.alias_log(), self.model_name, alias)

@@ -59,7 +59,7 @@ def load_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def load_train_test(
-    space: TableSpace, label: str = "target", train: str = "iris_train", test: str = "iris_test"
+    space: TableSpace, label: str = "target", train: str = "train", test: str = "test"
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Feature and label frames of both tables: ``x_train, x_test, y_train, y_test``.
 
@@ -72,7 +72,7 @@ def load_train_test(
 
 
 def save_train_test(
-    space: TableSpace, train: DataFrame, test: DataFrame, train_name: str = "iris_train", test_name: str = "iris_test"
+    space: TableSpace, train: DataFrame, test: DataFrame, train_name: str = "train", test_name: str = "test"
 ) -> None:
     space.overwrite(train, train_name)
     space.overwrite(test, test_name)

@@ -13,6 +13,7 @@ from tidemark.operators.evaluate import confusion_counts, weighted_metrics
 from tidemark.operators.ordering import (
     PLAIN_VALUES,
     cell_grid,
+    feature_name,
     is_small,
     match_keys,
     running_before,
@@ -77,9 +78,10 @@ def _plain_distance(both: DataFrame, features: Sequence[str]) -> DataFrame:
         F.sum("cb").over(whole).alias("n"),
         F.sum("cp").over(whole).alias("m"),
     )
-    return gaps.groupBy("feature").agg(
+    found = gaps.groupBy("feature").agg(
         F.max("n").alias("n"), F.max("m").alias("m"), F.max(F.abs(ratio("b", "n") - ratio("p", "m"))).alias("d")
     )
+    return found.select(feature_name(features), "n", "m", "d")
 
 
 def _cell_distance(both: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -127,7 +129,7 @@ def _cell_distance(both: DataFrame, features: Sequence[str]) -> DataFrame:
         F.max("gap").alias("gap")
     )
     return edges.join(inner, match_keys(["feature"]), "left").select(
-        "feature", "n", "m", F.greatest("edge", "gap").alias("d")
+        feature_name(features), "n", "m", F.greatest("edge", "gap").alias("d")
     )
 
 

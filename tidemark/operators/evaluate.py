@@ -154,9 +154,9 @@ def roc_auc(df: DataFrame, label: str, class_ids: Sequence[int], plain_values: i
     class for small inputs, inside ordered cells otherwise.
     """
     scores = [f"probability_class_{c}" for c in class_ids]
-    ids = F.create_map(*[F.lit(x) for s, c in zip(scores, class_ids) for x in (s, c)])
+    own_class = F.get(F.array(*[F.lit(c) for c in class_ids]), F.col("feature"))
     rows = df.select(label, *scores).filter(F.col(label).isNotNull())
-    positive = F.when(F.col(label) == F.try_element_at(ids, F.col("feature")), 1).otherwise(0)
+    positive = F.when(F.col(label) == own_class, 1).otherwise(0)
     counts = F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
     if is_small(rows, len(scores), plain_values):
         values = to_values(rows, scores, [label]).groupBy("feature", "value").agg(*counts)
@@ -178,7 +178,7 @@ def roc_auc(df: DataFrame, label: str, class_ids: Sequence[int], plain_values: i
         .agg(F.sum("wins").alias("wins"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
     return sums.select(
-        F.try_element_at(ids, F.col("feature")).alias("class"),
+        own_class.alias("class"),
         ratio("wins", F.col("pos").cast("double") * F.col("neg")).alias("auc"),
         F.col("pos").alias("support"),
     )

@@ -36,15 +36,17 @@ def is_small(df: DataFrame, width: int, limit: int = PLAIN_VALUES) -> bool:
 
 
 def to_values(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Long rows ``(*keep, feature, value)``, one per non-null feature value."""
-    return _explode(df, features, keep).drop("_f")
+    """Long rows ``(*keep, feature, value)``, one per non-null feature value.
 
-
-def _explode(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    ``feature`` is the position in ``features``: a number keeps grouping and shuffles light.
+    """
     values = F.array(*[clean_double(f) for f in features])
-    long = df.select(*keep, F.posexplode(values).alias("_f", "value")).filter(F.col("value").isNotNull())
-    names = F.array(*[F.lit(f) for f in features])
-    return long.select(*keep, "_f", F.get(names, F.col("_f")).alias("feature"), "value")
+    return df.select(*keep, F.posexplode(values).alias("feature", "value")).filter(F.col("value").isNotNull())
+
+
+def feature_name(features: Sequence[str]) -> Column:
+    """The name behind a feature position."""
+    return F.get(F.array(*[F.lit(f) for f in features]), F.col("feature")).alias("feature")
 
 
 def cell_grid(df: DataFrame, features: Sequence[str]) -> CellGrid:
@@ -57,7 +59,7 @@ def cell_grid(df: DataFrame, features: Sequence[str]) -> CellGrid:
 
 
 def to_cells(df: DataFrame, grid: CellGrid, keep: Sequence[str] = ()) -> DataFrame:
-    """Long rows ``(*keep, feature, cell, value)``, one per non-null feature value.
+    """Long rows ``(*keep, feature, cell, value)``, one per non-null value; ``feature`` is a position.
 
     A value's interval is found by halving steps over the padded edges of its feature, then its
     place inside the interval by proportion. Both never decrease with the value.
@@ -67,14 +69,14 @@ def to_cells(df: DataFrame, grid: CellGrid, keep: Sequence[str] = ()) -> DataFra
     padded = [[-math.inf, *edges, *[math.inf] * (size - len(edges) + 1)] for edges in grid.values()]
     # one text literal, folded to an array once: a literal per edge would slow the analysis of every step
     table = F.split(F.lit(",".join(str(x) for edges in padded for x in edges)), ",").cast("array<double>")
-    long = _explode(df, list(grid), keep).withColumn("_at", F.col("_f") * width)
+    long = to_values(df, list(grid), keep).withColumn("_at", F.col("feature") * width)
     for level in reversed(range(LEVELS)):
         further = F.col("_at") + F.lit(2**level)
         long = long.withColumn("_at", F.when(F.get(table, further) <= F.col("value"), further).otherwise(F.col("_at")))
     low, high = F.get(table, F.col("_at")), F.get(table, F.col("_at") + 1)
     share = F.nanvl((F.col("value") - low) / (high - low), F.lit(1.0))
     inner = F.least(F.floor(share * FAN), F.lit(FAN - 1))
-    cell = (F.col("_at") - F.col("_f") * width) * FAN + inner
+    cell = (F.col("_at") - F.col("feature") * width) * FAN + inner
     return long.select(*keep, "feature", cell.cast("int").alias("cell"), "value")
 
 
@@ -146,6 +148,7 @@ def exact_quantiles(
     low = F.max(F.when(F.col("r.side") == "low", F.col("value")))
     high = F.max(F.when(F.col("r.side") == "high", F.col("value")))
     weight = F.max("r.weight")
-    return picked.groupBy(*key, F.col("r.probability").alias("probability")).agg(
+    found = picked.groupBy(*key, F.col("r.probability").alias("probability")).agg(
         F.when(weight == 0, low).otherwise((F.lit(1.0) - weight) * low + weight * high).alias("value")
     )
+    return found.select(*by, feature_name(features), "probability", "value")

@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents
+from tidemark.llm.decontamination import contamination
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.sources.tables import load_parquet
 
 
+def op1_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir), load_parquet(spark, sf_dir, "benchmark")).drop("items", "spans")
+
+
 def op2_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
@@ -32,12 +37,25 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_cutting_stock_packing": op2_cutting_stock_packing,
     "op3_hypergeometric_sharding": op3_hypergeometric_sharding,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
 ORACLES = {
+    "op1_winnowing_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(lower_az(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(lower_az(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        bw AS (SELECT DISTINCT item_id, least(13, len(w)) AS m, w[i : i + least(13, len(w)) - 1] AS g
+          FROM b, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS u(i) WHERE len(w) > 0),
+        dw AS (SELECT doc_id, m, i, w[i : i + m - 1] AS g FROM d, (SELECT DISTINCT m FROM bw), unnest(range(1, len(w) - m + 2)) AS u(i)),
+        hits AS (SELECT doc_id, i, m, item_id FROM dw JOIN bw USING (m, g)),
+        n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + m)) AS u(p) GROUP BY doc_id),
+        t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM hits GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+          coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)""".replace("lower_az(coalesce(text, ''))", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"),
     "op8_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

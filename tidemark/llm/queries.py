@@ -10,6 +10,7 @@ from tidemark.llm.decontamination import contamination
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shuffle_into_shards
+from tidemark.llm.warc import archive
 from tidemark.sources.tables import load_parquet
 
 
@@ -32,6 +33,10 @@ def op3_hypergeometric_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op7_index_merged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(load_parquet(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
@@ -40,6 +45,7 @@ QUERIES = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_cutting_stock_packing": op2_cutting_stock_packing,
     "op3_hypergeometric_sharding": op3_hypergeometric_sharding,
+    "op7_index_merged_archives": op7_index_merged_archives,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
@@ -56,6 +62,13 @@ ORACLES = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)""".replace("lower_az(coalesce(text, ''))", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"),
+    "op7_index_merged_archives": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT *, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+        SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+          array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            (((('0x' || substr(x, (5 * (i // 4) + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
+          CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to FROM d""",
     "op8_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

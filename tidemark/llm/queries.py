@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.line_templates import without_recurring_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shuffle_into_shards
+from tidemark.llm.simhash import near_groups
 from tidemark.llm.warc import archive
 from tidemark.sources.tables import load_parquet
 
@@ -41,12 +43,23 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def op9_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(documents(spark, sf_dir))
+
+
+def op10_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_recurring_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_cutting_stock_packing": op2_cutting_stock_packing,
     "op3_hypergeometric_sharding": op3_hypergeometric_sharding,
     "op7_index_merged_archives": op7_index_merged_archives,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_multi_index_simhash": op9_multi_index_simhash,
+    "op10_line_template_dedup": op10_line_template_dedup,
 }
 
 ORACLES = {
@@ -73,4 +86,22 @@ ORACLES = {
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
           doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t)""",
+    "op10_line_template_dedup": r"""
+        WITH s AS (SELECT doc_id, text, string_split(text, chr(10)) AS a FROM documents),
+        x AS (SELECT doc_id, i, regexp_replace(trim(regexp_replace(a[i], '[ \t\r]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line
+          FROM s, unnest(range(1, len(a) + 1)) AS u(i)),
+        l AS (SELECT *, string_split(line, ' ') AS w FROM x WHERE line <> ''),
+        k AS (SELECT *, len(w) || ' ' || array_to_string(w[1:3], ' ') AS leaf FROM l),
+        d AS (SELECT leaf, line, any_value(w) AS w, count(DISTINCT doc_id) AS docs FROM k GROUP BY leaf, line),
+        t AS (SELECT leaf, line, docs, p, w[p] AS token FROM d, unnest(range(1, len(w) + 1)) AS u(p)),
+        f AS (SELECT leaf, p, token, sum(docs) >= 10 AS often FROM t GROUP BY ALL),
+        g AS (SELECT leaf, line, avg(CASE WHEN often AND token <> '<*>' THEN 1.0 ELSE 0.0 END) AS kept,
+          string_agg(CASE WHEN often THEN token ELSE '<*>' END, ' ' ORDER BY p) AS general FROM t JOIN f USING (leaf, p, token) GROUP BY leaf, line),
+        m AS (SELECT doc_id, i, leaf, CASE WHEN kept >= 0.6 THEN general ELSE line END AS template FROM k JOIN g USING (leaf, line)),
+        r AS (SELECT leaf, template FROM m GROUP BY leaf, template HAVING count(DISTINCT doc_id) >= 10),
+        z AS (SELECT doc_id, list(i) AS gone FROM m JOIN r USING (leaf, template) GROUP BY doc_id)
+        SELECT doc_id, coalesce(len(a), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_dropped,
+          sha256(coalesce(CASE WHEN gone IS NULL THEN text
+            ELSE array_to_string(list_transform(list_filter(range(1, len(a) + 1), lambda j: NOT list_contains(gone, j)), lambda j: a[j]), chr(10)) END, '')) AS kept_sha256
+        FROM s LEFT JOIN z USING (doc_id)""",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.language import held_out, identify
 from tidemark.llm.line_templates import without_recurring_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shuffle_into_shards
@@ -35,6 +36,12 @@ def op3_hypergeometric_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op5_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", held_out(4, 2))
+    found = identify(docs, ~F.col("held_out"), keep=True)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
+
+
 def op7_index_merged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(load_parquet(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -56,6 +63,7 @@ QUERIES = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_cutting_stock_packing": op2_cutting_stock_packing,
     "op3_hypergeometric_sharding": op3_hypergeometric_sharding,
+    "op5_kneser_ney_language": op5_kneser_ney_language,
     "op7_index_merged_archives": op7_index_merged_archives,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_multi_index_simhash": op9_multi_index_simhash,

@@ -278,17 +278,17 @@ def train(docs: DataFrame, learn: Column) -> Identifier:
     return Identifier(models, usual, excess)
 
 
-def identify(docs: DataFrame, learn: Column | None = None, keep: bool = False) -> DataFrame:
+def identify(docs: DataFrame, learn: Column | None = None, keep: bool = False, prefix: str = "") -> DataFrame:
     """doc_id, lang_pred, score (0 to 1), entropy and rejected of every row; ``keep`` adds the columns of ``docs``.
 
+    ``prefix`` goes before the new names; input columns that still have such a name are replaced.
+
     Learns from ``text`` and ``lang`` of the rows where ``learn`` holds (all by default) and scores whole texts by
     themselves. A null text or one without letters is ``und``, score 0, rejected; so is everything when nothing can
-    be learnt. Repeated rows get a row each. Input columns with the result's names are an error under ``keep``.
+    be learnt. Repeated rows get a row each.
     """
-    added = {"lang_pred": "string", "score": "double", "entropy": "double", "rejected": "boolean"}
-    names = docs.columns if keep else ["doc_id", "text"]
-    if clash := set(added) & {n.lower() for n in names}:
-        raise ValueError(f"the input already has {sorted(clash)}")
+    added = {f"{prefix}lang_pred": "string", f"{prefix}score": "double", f"{prefix}entropy": "double", f"{prefix}rejected": "boolean"}
+    names = [n for n in docs.columns if n.lower() not in added] if keep else ["doc_id", "text"]
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, F.lit(True) if learn is None else learn))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,6 +297,6 @@ def identify(docs: DataFrame, learn: Column | None = None, keep: bool = False) -
             rest = [c for c in batch.schema.names if keep or c != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *map(pa.array, found)], [*rest, *added])
 
-    rows = docs.select(*names)
+    rows = docs.select(*(F.col(f"`{n}`").cast("string").alias(n) if n == "text" else F.col(f"`{n}`") for n in names))
     kinds = [(f.name, f.dataType.simpleString()) for f in rows.schema.fields if keep or f.name != "text"]
     return rows.mapInArrow(judge, ", ".join(f"`{n}` {k}" for n, k in [*kinds, *added.items()]))

@@ -13,6 +13,7 @@ from tidemark.llm.line_templates import without_recurring_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.llm.simhash import near_groups
+from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.warc import archive
 from tidemark.sources.tables import load_parquet
 
@@ -42,6 +43,11 @@ def op5_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
 
 
+def op6_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(documents(spark, sf_dir), load_parquet(spark, sf_dir, "labels"), ~held_out(3, 1))
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_index_merged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(load_parquet(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -64,6 +70,7 @@ QUERIES = {
     "op2_cutting_stock_packing": op2_cutting_stock_packing,
     "op3_hypergeometric_sharding": op3_hypergeometric_sharding,
     "op5_kneser_ney_language": op5_kneser_ney_language,
+    "op6_compression_toxicity": op6_compression_toxicity,
     "op7_index_merged_archives": op7_index_merged_archives,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_multi_index_simhash": op9_multi_index_simhash,

@@ -72,11 +72,10 @@ def shuffle_into_shards(rows: DataFrame, shards: int = 16, seed: int = 7, block_
     Shard sizes differ by one row at most. Every assignment of rows to (shard, slot) is equally likely over seeds;
     equal rows, nulls and empty texts are shuffled like any others, so copies need not meet in one shard. The
     result is the same for the same stored input and seed. An empty table gives no rows. Input columns named
-    ``shard`` or ``slot`` are an error.
+    ``shard`` or ``slot`` are replaced.
     """
     spark = rows.sparkSession
-    if clash := {"shard", "slot"} & {c.lower() for c in rows.columns}:
-        raise ValueError(f"the input already has {sorted(clash)}")
+    rows = rows.drop("shard", "slot")
     columns = rows.columns
     key = lambda salt: F.xxhash64(F.lit(seed), F.lit(salt), *columns)
     # permute locally: no exchange; the position inside the partition is the local rank

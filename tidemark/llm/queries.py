@@ -13,6 +13,7 @@ from tidemark.llm.line_templates import without_recurring_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.llm.simhash import near_groups
+from tidemark.llm.substring_dedup import without_repeats
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.warc import archive
 from tidemark.sources.tables import load_parquet
@@ -37,6 +38,10 @@ def op3_hypergeometric_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op4_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op5_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", held_out(4, 2))
     found = identify(docs, ~F.col("held_out"), keep=True)
@@ -69,6 +74,7 @@ QUERIES = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_cutting_stock_packing": op2_cutting_stock_packing,
     "op3_hypergeometric_sharding": op3_hypergeometric_sharding,
+    "op4_difference_cover_dedup": op4_difference_cover_dedup,
     "op5_kneser_ney_language": op5_kneser_ney_language,
     "op6_compression_toxicity": op6_compression_toxicity,
     "op7_index_merged_archives": op7_index_merged_archives,

@@ -38,7 +38,8 @@ def cover_ranks(heads: np.ndarray) -> np.ndarray:
     n = len(heads)
     at = np.flatnonzero(np.isin(np.arange(n) % PERIOD, COVER))
     ranks = np.full(n, -1, np.int64)
-    ranks[at] = _dense(heads[at])
+    # of suffixes that end within these seven bytes the shorter one comes first
+    ranks[at] = _dense(heads[at] * np.uint64(8) + np.minimum(n - at, PERIOD).astype(np.uint64))
     known = PERIOD
     while known < n and len(at) and ranks[at].max() < len(at) - 1:
         after = at + known  # the residue is the same, so it is in the cover too

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import batch
 from tidemark.operators.scoring import LinearModel, score
-from tidemark.session import active_session
 from tidemark.sources import predictions as history
 from tidemark.sources import tables
 from tidemark.streaming import scores
@@ -88,7 +87,6 @@ def test_table_sources(space, rows):
     space.overwrite(rows.limit(0), "dataset_drift")
     with pytest.raises(ValueError, match="empty"):
         tables.stage_new_data(space, ["a"])
-    assert active_session() is not None
 
 
 def test_stream_scores_equal_batch_scores(spark, rows, tmp_path):

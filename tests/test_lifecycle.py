@@ -65,6 +65,49 @@ def test_whole_lifecycle(spark, raw):
         job.prepare(raw.selectExpr("*").withColumn("sepal length (cm)", -raw["sepal length (cm)"]), ["id"], rules=rules)
 
 
+def test_production_keeps_its_scale_when_other_data_is_prepared(spark, raw):
+    space = TableSpace(spark, f"t{uuid.uuid4().hex}").create()
+    job = Lifecycle(space, "flowers", SMOKE_FEATURES)
+    job.prepare(raw, ["id"])
+    job.train(max_iter=5)
+    job.promote(only_if_better=False, from_alias="baseline")
+    rows = normalize_names(raw)
+
+    def predictions(day):
+        batch = job.score_batch(rows, ts=datetime(2024, 1, day))
+        found = space.read(history.PREDICTIONS).filter(f"batch_id = '{batch}'").select(*SMOKE_FEATURES, "predicted_class", "prediction_probability")
+        return sorted(map(tuple, found.collect()))
+
+    before, accuracy = predictions(1), job.evaluate_alias("production").first()["accuracy"]
+    shifted = raw.withColumns({c: raw[c] * 100 + 7 for c in raw.columns if c not in ("id", "target")})
+    job.prepare(shifted, ["id"])
+    assert predictions(2) == before and accuracy > 0.5
+    second = job.train(max_iter=5)
+    assert job.scaler(second.version) != job.scaler(1)
+
+
+@pytest.mark.parametrize("failing", ["model_scalers", "metrics_log", "model_coefficients", "model_signatures", "model_versions", "model_alias_log"])
+def test_training_that_stops_leaves_a_clean_registry(spark, raw, failing, monkeypatch):
+    space = TableSpace(spark, f"t{uuid.uuid4().hex}").create()
+    job = Lifecycle(space, "flowers", SMOKE_FEATURES)
+    job.prepare(raw, ["id"])
+    append = TableSpace.append
+
+    def stop(self, df, table, *more):
+        if table == failing:
+            raise RuntimeError("stopped")
+        return append(self, df, table, *more)
+
+    monkeypatch.setattr(TableSpace, "append", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        job.train(max_iter=2)
+    monkeypatch.setattr(TableSpace, "append", append)
+    model = job.train(max_iter=2)
+    job.promote(only_if_better=False, from_alias="baseline")
+    assert job.evaluate_alias("production").first()["version"] == model.version
+    assert len(model.class_ids) == 3 == job.coefficients().filter(f"version = {model.version}").count()
+
+
 def test_summary_falls_back_to_a_written_table(spark):
     small, large = Summary(spark.range(5), limit=5), Summary(spark.range(50), limit=5)
     assert small.small and not large.small

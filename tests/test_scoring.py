@@ -69,19 +69,24 @@ def test_rows_that_name_their_model(spark):
     table = MODEL.to_table(spark).unionByName(
         LinearModel("other", 4, ("a", "b"), (0, 1), (0.0, 1.0), ((0.0, 0.0), (0.0, 0.0))).to_table(spark)
     )
-    df = spark.createDataFrame([("m", 1.0, 2.0), ("other", 1.0, 2.0)], "model_name string, a double, b double")
+    df = spark.createDataFrame([("m", 1.0, 2.0), ("other", 1.0, 2.0), ("unknown", 1.0, 2.0)], "model_name string, a double, b double")
     rows = {r["model_name"]: r for r in scoring.score_by_row_model(df, table, ["model_name"], ["a", "b"]).collect()}
     alone = scoring.score(df, MODEL).first()
     assert rows["m"]["predicted_class"] == alone["predicted_class"]
     assert rows["m"]["probabilities"] == pytest.approx([alone[f"probability_class_{c}"] for c in range(3)])
     assert rows["other"]["predicted_class"] == 1
+    assert rows["unknown"]["predicted_class"] is None and rows["unknown"]["prediction_probability"] is None
 
 
 def test_alignment(spark):
     original = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 30.0)], "id int, x double")
-    predictions = spark.createDataFrame([(3, 1, 0.0), (1, 0, 0.0), (2, 2, 0.0)], "id int, predicted_class int, x double")
+    predictions = spark.createDataFrame([(3, 1), (1, 0), (2, 2)], "id int, predicted_class int")
     rows = {r["id"]: (r["x"], r["predicted_class"]) for r in scoring.align_predictions(original, predictions, ["id"]).collect()}
     assert rows == {1: (10.0, 0), 2: (20.0, 2), 3: (30.0, 1)}
+    missing = scoring.align_predictions(original, predictions.filter("id > 1"), ["id"]).filter("id = 1").first()
+    assert missing["x"] == 10.0 and missing["predicted_class"] is None
+    with pytest.raises(ValueError, match="both tables"):
+        scoring.align_predictions(original, original, ["id"])
     scoring.require_aligned(original, predictions, ["id"])
     with pytest.raises(ValueError, match="align"):
         scoring.require_aligned(original, predictions.union(predictions), ["id"])

@@ -11,14 +11,11 @@ from tidemark.functions.columns import column, ks_tail_probability, ratio, ratio
 from tidemark.functions.exact_ks import EXACT_MAX_ROWS, exact_p_value
 from tidemark.operators.evaluate import confusion_counts, weighted_metrics
 from tidemark.operators.ordering import (
-    PLAIN_VALUES,
     cell_grid,
     feature_name,
-    is_small,
     match_keys,
     running_before,
     to_cells,
-    to_values,
 )
 from tidemark.operators.profile import moments
 from tidemark.sources.workspace import Summary, literal_frame
@@ -32,7 +29,6 @@ def ks_distance(
     prod: DataFrame,
     features: Sequence[str],
     null_policy: str = "drop",
-    plain_values: int = PLAIN_VALUES,
 ) -> DataFrame:
     """Exact two-sample Kolmogorov-Smirnov distance, rows ``(feature, n_base, n_prod, drift_score)``.
 
@@ -41,8 +37,7 @@ def ks_distance(
     if null_policy not in ("drop", "propagate"):
         raise ValueError(f"unknown null_policy: {null_policy}")
     both = base.select(*features, F.lit(1).alias("_base")).unionByName(prod.select(*features, F.lit(0).alias("_base")))
-    plain = is_small(both, len(features), plain_values)
-    found = (_plain_distance if plain else _cell_distance)(both, features).withColumnRenamed("feature", "_feature")
+    found = _cell_distance(both, features).withColumnRenamed("feature", "_feature")
     names = literal_frame(base.sparkSession, {"feature": list(features)})
     zero = F.lit(0).cast("bigint")
     result = names.join(found, F.col("feature") == F.col("_feature"), "left").select(
@@ -66,26 +61,8 @@ def _in_prod() -> Column:
     return F.sum(1 - F.col("_base"))
 
 
-def _plain_distance(both: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One running window per feature over its counted distinct values."""
-    values = to_values(both, features, ["_base"]).groupBy("feature", "value").agg(_in_base().alias("cb"), _in_prod().alias("cp"))
-    whole = Window.partitionBy("feature")
-    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    gaps = values.select(
-        "feature",
-        F.sum("cb").over(upto).alias("b"),
-        F.sum("cp").over(upto).alias("p"),
-        F.sum("cb").over(whole).alias("n"),
-        F.sum("cp").over(whole).alias("m"),
-    )
-    found = gaps.groupBy("feature").agg(
-        F.max("n").alias("n"), F.max("m").alias("m"), F.max(F.abs(ratio("b", "n") - ratio("p", "m"))).alias("d")
-    )
-    return found.select(feature_name(features), "n", "m", "d")
-
-
 def _cell_distance(both: DataFrame, features: Sequence[str]) -> DataFrame:
-    """The same distance from ordered cells.
+    """The distance from ordered cells.
 
     The gap between the two distribution functions is known at every cell edge from the tally alone.
     Inside a cell it cannot exceed what the cell's own rows could add, so only cells whose bound
@@ -138,22 +115,24 @@ def ks_two_sample(
     prod: DataFrame,
     features: Sequence[str],
     threshold: float = 0.05,
-    method: str = "auto",
+    method: str = "asymp",
     null_policy: str = "drop",
-    plain_values: int = PLAIN_VALUES,
 ) -> DataFrame:
     """Drift test per feature: ``(feature, n_base, n_prod, drift_score, p_value, has_drift)``.
 
-    ``method``: ``exact`` (up to 10,000 rows a side), ``asymp``, ``limit``, or ``auto``, which is
-    exact for small samples and ``asymp`` for larger ones. Drift means ``p_value < threshold``,
-    strictly; an empty side gives NULL and no drift. Runs the distance job right away: its one row
-    per feature decides which p-value is due.
+    ``method`` is the caller's choice: ``asymp`` (default), ``limit``, ``exact`` (an error where a
+    side has more than 10,000 values: its work grows with their product), or ``auto``, exact for
+    features of up to 10,000 values a side and ``asymp`` for others. Drift means
+    ``p_value < threshold``, strictly; an empty side gives NULL and no drift. Runs the distance job
+    right away, for its one row per feature.
     """
     sizes = F.col("drift_score"), F.col("n_base"), F.col("n_prod")
     small = F.greatest("n_base", "n_prod") <= EXACT_MAX_ROWS
     if method not in ("auto", "exact", "asymp", "limit"):
         raise ValueError(f"unknown method: {method}")
-    rows = Summary(ks_distance(base, prod, features, null_policy, plain_values)).rows
+    rows = Summary(ks_distance(base, prod, features, null_policy)).rows
+    if method == "exact" and (large := [r["feature"] for r in rows.filter(~small).collect()]):
+        raise ValueError(f"no exact p-value beyond {EXACT_MAX_ROWS} values a side: {large}")
     if method in ("asymp", "limit") or (method == "auto" and rows.filter(small).isEmpty()):
         p = ks_tail_probability(*sizes, "limit" if method == "limit" else "asymp")
     else:

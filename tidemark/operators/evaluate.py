@@ -9,13 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import column, ratio, ratio_or_zero
 from tidemark.operators.ordering import (
-    PLAIN_VALUES,
     cell_grid,
-    is_small,
     match_keys,
     running_before,
     to_cells,
-    to_values,
 )
 from tidemark.sources.workspace import Summary
 
@@ -30,7 +27,11 @@ def confusion_counts(df: DataFrame, label: Column | str, prediction: Column | st
 
 
 def class_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Rows ``(*by, label, precision, recall, f1_score, support)`` over the union of labels; 0/0 is 0."""
+    """Rows ``(*by, label, precision, recall, f1_score, support)`` over the union of labels; 0/0 is 0.
+
+    Rows without a label are not judged: their predictions count nowhere.
+    """
+    counts = counts.filter(F.col("label").isNotNull())
     sides = F.array(
         F.struct(
             F.col("label").alias("label"),
@@ -139,41 +140,45 @@ def flatten_report(report: DataFrame) -> DataFrame:
 
 
 def log_loss(df: DataFrame, label: str, class_ids: Sequence[int], by: Sequence[str] = (), floor: float = 1e-15) -> DataFrame:
-    """Mean negative log probability of the true class, ``(*by, log_loss)``."""
+    """Mean negative log probability of the true class, ``(*by, log_loss)``.
+
+    Rows without a label are left out. A label outside ``class_ids``, or a missing probability of a labelled row,
+    is an error when the rows are read: neither has a loss.
+    """
     p_true = None
     for c in class_ids:
         value = F.col(f"probability_class_{c}")
         p_true = F.when(F.col(label) == c, value) if p_true is None else p_true.when(F.col(label) == c, value)
-    return df.groupBy(*by).agg(F.avg(-F.log(F.greatest(p_true, F.lit(floor)))).alias("log_loss"))
+    unknown = F.raise_error(F.concat(F.lit("no probability for label "), F.col(label).cast("string"))).cast("double")
+    p_true = F.when(F.col(label).isNull(), F.lit(None)).when(p_true.isNull() | F.isnan(p_true), unknown).otherwise(p_true)
+    loss = F.when(p_true.isNotNull(), -F.log(F.greatest(p_true, F.lit(floor))))
+    return df.groupBy(*by).agg(F.avg(loss).alias("log_loss"))
 
 
-def roc_auc(df: DataFrame, label: str, class_ids: Sequence[int], plain_values: int = PLAIN_VALUES) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, class_ids: Sequence[int]) -> DataFrame:
     """One-vs-rest area under the ROC curve, rows ``(class, auc, support)``; ties count half.
 
-    Counts positives and negatives per distinct score and adds up rank sums: over one window per
-    class for small inputs, inside ordered cells otherwise.
+    A tally of positives and negatives per ordered cell ranks whole cells. Only cells that hold both
+    are looked into score by score; in the others every positive has the cell's own rank.
     """
     scores = [f"probability_class_{c}" for c in class_ids]
     own_class = F.get(F.array(*[F.lit(c) for c in class_ids]), F.col("feature"))
     rows = df.select(label, *scores).filter(F.col(label).isNotNull())
     positive = F.when(F.col(label) == own_class, 1).otherwise(0)
     counts = F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
-    if is_small(rows, len(scores), plain_values):
-        values = to_values(rows, scores, [label]).groupBy("feature", "value").agg(*counts)
-        below = running_before("neg", ["feature"], "value") + F.col("neg") / 2.0
-    else:
-        long = to_cells(rows, cell_grid(rows, scores), [label])
-        values = long.groupBy("feature", "cell", "value").agg(*counts)
-        tally = Summary(values.groupBy("feature", "cell").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-        offsets = tally.rows.select(
-            F.col("feature").alias("_feature"),
-            F.col("cell").alias("_cell"),
-            running_before("neg", ["feature"], "cell").alias("base"),
-        )
-        values = values.join(tally.joinable(offsets), match_keys(["feature", "cell"]))
-        below = F.col("base") + running_before("neg", ["feature", "cell"], "value") + F.col("neg") / 2.0
+    long = to_cells(rows, cell_grid(rows, scores), [label])
+    tally = Summary(long.groupBy("feature", "cell").agg(*counts))
+    placed = tally.rows.withColumn("base", running_before("neg", ["feature"], "cell"))
+    mixed = (F.col("pos") > 0) & (F.col("neg") > 0)
+    pure = placed.filter(~mixed).select("feature", "pos", "neg", (F.col("pos") * F.col("base").cast("double")).alias("wins"))
+    open_cells = tally.joinable(
+        placed.filter(mixed).select(F.col("feature").alias("_feature"), F.col("cell").alias("_cell"), "base")
+    )
+    values = long.join(open_cells, match_keys(["feature", "cell"])).groupBy("feature", "cell", "value", "base").agg(*counts)
+    below = F.col("base") + running_before("neg", ["feature", "cell"], "value") + F.col("neg") / 2.0
+    inside = values.select("feature", "pos", "neg", (F.col("pos") * below).alias("wins"))
     sums = (
-        values.select("feature", "pos", "neg", (F.col("pos") * below).alias("wins"))
+        pure.unionByName(inside)
         .groupBy("feature")
         .agg(F.sum("wins").alias("wins"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )

@@ -5,9 +5,7 @@ every edge interval is split into ``FAN`` equal widths. Edges only steer balance
 exact for any edges. A tally per cell gives the rank at which the cell starts, so most cells are
 settled from the tally alone and only the cells that matter are looked into value by value. Equal
 values always share a cell and collapse to one counted row before any window runs, so a value held
-by a third of all rows costs one row.
-
-Inputs of up to ``PLAIN_VALUES`` values skip all this: there one plain window is cheaper.
+by a third of all rows costs one row. The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -24,17 +22,11 @@ from tidemark.sources.workspace import Summary
 
 LEVELS = 8  # up to 2**LEVELS - 1 edges, found by LEVELS halving steps
 FAN = 64
-PLAIN_VALUES = 5_000_000
 
 
 CellGrid = dict[str, list[float]]  # strictly increasing edges per feature
 
 
-def is_small(df: DataFrame, width: int, limit: int = PLAIN_VALUES) -> bool:
-    """Whether ``width`` values per row stay within ``limit``; counting reads at most the filter columns."""
-    return limit > 0 and df.count() * width <= limit
-
-
 def to_values(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Long rows ``(*keep, feature, value)``, one per non-null feature value.
 

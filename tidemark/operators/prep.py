@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
@@ -85,13 +86,22 @@ def ratio_area(df: DataFrame, pairs: Mapping[str, tuple[str, str]] = DEFAULT_PAI
 
 
 def date_range(df: DataFrame, ts: str, start: date | datetime | str, end: date | datetime | str) -> DataFrame:
-    """Rows with ``start <= ts <= end``; plain comparisons, so they reach the parquet scan."""
+    """Rows with ``start <= ts <= end``; plain comparisons, so they reach the parquet scan.
+
+    An end without a time of day includes that whole day.
+    """
     kind = df.schema[ts].dataType
-    return df.filter(F.col(ts).between(F.lit(start).cast(kind), F.lit(end).cast(kind)))
+    after, last = F.col(ts) >= F.lit(start).cast(kind), F.lit(end).cast(kind)
+    whole_day = re.fullmatch(r"\d{4}-\d{2}-\d{2}", end.strip()) if isinstance(end, str) else not isinstance(end, datetime)
+    if whole_day and not isinstance(kind, T.DateType):
+        return df.filter(after & (F.col(ts) < F.date_add(F.lit(end).cast("date"), 1).cast(kind)))
+    return df.filter(after & (F.col(ts) <= last))
 
 
 def null_rules(columns: Sequence[str]) -> dict[str, tuple[str, Column]]:
-    return {f"{c}_null": (c, F.col(c).isNull()) for c in columns}
+    """Violated by NULL, and by NaN in floating-point columns."""
+    nan = lambda c: F.typeof(c).isin("double", "float") & (F.col(c).cast("string") == "NaN")
+    return {f"{c}_null": (c, F.col(c).isNull() | nan(c)) for c in columns}
 
 
 def range_rules(bounds: Mapping[str, tuple[float | None, float | None]]) -> dict[str, tuple[str, Column]]:

@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import clean_double, column, timestamp
-from tidemark.operators.ordering import PLAIN_VALUES, exact_quantiles, is_small, match_keys
+from tidemark.operators.ordering import exact_quantiles, match_keys
 from tidemark.operators.prep import numeric_columns
 from tidemark.sources.workspace import Summary
 
@@ -53,15 +54,13 @@ def _with_quantiles(
     by: Sequence[str],
     quantiles: Mapping[str, float],
     accuracy: int | None,
-    plain_values: int,
 ) -> DataFrame:
     """Moments with quantiles: approximate on request, else exact.
 
-    The built-in exact percentile keeps all distinct values of a group in memory, so it serves only
-    inputs known to be small.
+    The built-in exact percentile keeps all distinct values of a group in memory, so quantiles come from cells.
     """
     by = list(by)
-    if accuracy is not None or is_small(df, len(features), plain_values):
+    if accuracy is not None:
         return _aggregate(df, features, by, quantiles, accuracy)
     keys = [*by, "feature"]
     long = exact_quantiles(df, features, sorted(set(quantiles.values())), by)
@@ -76,13 +75,12 @@ def distribution_stats(
     features: Sequence[str],
     by: Sequence[str] = (),
     accuracy: int | None = None,
-    plain_values: int = PLAIN_VALUES,
 ) -> DataFrame:
     """Rows ``(*by, feature, mean, std, min, max, median)``.
 
     The median interpolates and is exact; ``accuracy`` switches to the approximate percentile.
     """
-    stats = _with_quantiles(df, features, by, {"median": 0.5}, accuracy, plain_values)
+    stats = _with_quantiles(df, features, by, {"median": 0.5}, accuracy)
     return stats.select(*by, "feature", "mean", "std", "min", "max", "median")
 
 
@@ -91,17 +89,17 @@ def describe_numeric(
     features: Sequence[str] | None = None,
     by: Sequence[str] = (),
     accuracy: int | None = None,
-    plain_values: int = PLAIN_VALUES,
 ) -> DataFrame:
     """Rows ``(*by, feature, count, mean, std, min, p25, p50, p75, max)`` for the numeric columns."""
     features = numeric_columns(df) if features is None else list(features)
-    stats = _with_quantiles(df, features, by, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, accuracy, plain_values)
+    stats = _with_quantiles(df, features, by, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, accuracy)
     return stats.select(*by, "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def non_null_info(df: DataFrame) -> DataFrame:
-    """Rows ``(column, dtype, non_null, rows)`` in schema order, from one scan."""
-    counts = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    """Rows ``(column, dtype, non_null, rows)`` in schema order, from one scan; NaN counts as missing."""
+    present = [clean_double(f.name) if f.dataType in (T.DoubleType(), T.FloatType()) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(f"_n{i}") for i, c in enumerate(present)])
     rows = [
         F.struct(
             F.lit(f.name).alias("column"),
@@ -115,8 +113,11 @@ def non_null_info(df: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, name: str, pct: bool = False) -> DataFrame:
-    """Rows ``(name, count[, pct])``, most frequent first, value as tie-break; NULL is dropped."""
-    counts = df.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("count"))
+    """Rows ``(name, count[, pct])``, most frequent first, value as tie-break; NULL and NaN are dropped."""
+    missing = F.col(name).isNull()
+    if df.schema[name].dataType in (T.DoubleType(), T.FloatType()):
+        missing |= F.isnan(name)
+    counts = df.filter(~missing).groupBy(name).agg(F.count("*").alias("count"))
     if pct:
         counts = Summary(counts).rows  # read twice below, scanned once
         counts = counts.withColumn("pct", F.col("count") / counts.agg(F.sum("count")).scalar() * 100)
@@ -176,13 +177,12 @@ def compare_profiles(
     prod: DataFrame,
     features: Sequence[str],
     accuracy: int | None = None,
-    plain_values: int = PLAIN_VALUES,
 ) -> DataFrame:
     """Distribution statistics of both sides in one frame, keyed by ``side``."""
     both = base.select(*features, F.lit("baseline").alias("side")).unionByName(
         prod.select(*features, F.lit("production").alias("side"))
     )
-    return distribution_stats(both, features, ["side"], accuracy, plain_values)
+    return distribution_stats(both, features, ["side"], accuracy)
 
 
 def slice_profile(
@@ -193,12 +193,11 @@ def slice_profile(
     granularity: str = "1 day",
     baseline: DataFrame | None = None,
     accuracy: int | None = None,
-    plain_values: int = PLAIN_VALUES,
 ) -> DataFrame:
     """Statistics per time window, slice and feature, next to the slice's baseline mean when given."""
     windowed = df.withColumn("window_start", F.window(timestamp(ts), granularity)["start"])
     by = ["window_start", *slices]
-    stats = _with_quantiles(windowed, features, by, {"median": 0.5}, accuracy, plain_values)
+    stats = _with_quantiles(windowed, features, by, {"median": 0.5}, accuracy)
     if baseline is None:
         return stats
     keys = [*slices, "feature"]

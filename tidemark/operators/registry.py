@@ -59,8 +59,11 @@ def model_by_alias(coefficients: DataFrame, log: DataFrame, model_name: str, ali
 
 def _events(log: DataFrame, requests: DataFrame, op: str, ts: Column) -> DataFrame:
     """Requests ``(model_name, alias, version[, ord])`` as events following each model's last one."""
+    twice = requests.groupBy("model_name", F.lower("alias").alias("alias")).count().filter("count > 1")
     if "ord" not in requests.columns:
-        requests = requests.withColumn("ord", F.lit(1))
+        if not twice.isEmpty():
+            raise ValueError("several requests for one alias: give their order in a column 'ord'")
+        requests = requests.withColumn("ord", F.row_number().over(Window.partitionBy("model_name").orderBy(F.lower("alias"))))
     last = log.groupBy(F.col("model_name").alias("_m")).agg(F.max("seq").alias("_seq"))
     return requests.join(last, F.col("model_name") == F.col("_m"), "left").select(
         "model_name",

@@ -47,6 +47,8 @@ class LinearModel:
         )
         if not rows:
             raise ValueError(f"model {name} has no version {version}")
+        if len({r["class_id"] for r in rows}) < len(rows):
+            raise ValueError(f"model {name} version {version} has several rows for a class")
         return cls(
             name,
             version,
@@ -173,11 +175,16 @@ def score(df: DataFrame, model: LinearModel, scaler: DataFrame | dict | None = N
 
 
 def score_pair(
-    df: DataFrame, production: LinearModel, challenger: LinearModel, scaler: DataFrame | dict | None = None
+    df: DataFrame,
+    production: LinearModel,
+    challenger: LinearModel,
+    scaler: DataFrame | dict | None = None,
+    challenger_scaler: DataFrame | dict | None = None,
 ) -> DataFrame:
-    """Adds ``production_class`` and ``challenger_class`` in one scan."""
+    """Adds ``production_class`` and ``challenger_class`` in one scan; the challenger may have its own scaler."""
+    challenger_scaler = scaler if challenger_scaler is None else challenger_scaler
     both = with_probabilities(df, production, scaler, "_pp_", "production_class")
-    both = with_probabilities(both, challenger, scaler, "_pc_", "challenger_class")
+    both = with_probabilities(both, challenger, challenger_scaler, "_pc_", "challenger_class")
     return both.drop(*[f"_pp_{c}" for c in production.class_ids], *[f"_pc_{c}" for c in challenger.class_ids])
 
 
@@ -187,7 +194,8 @@ def score_by_row_model(
     """Scores rows that each name their own model: ``model_key`` joins rows with coefficient rows.
 
     Coefficients are gathered to one row per model first; Spark picks the join from their size.
-    Adds ``probabilities`` (in class order), ``predicted_class`` and ``prediction_probability``.
+    Adds ``probabilities`` (in class order), ``predicted_class`` and ``prediction_probability``; all are
+    NULL for rows whose model is unknown.
     """
     models = coefficients.groupBy(*model_key).agg(
         F.sort_array(F.collect_list(F.struct("class_id", "intercept", "weights"))).alias("_model")
@@ -198,7 +206,7 @@ def score_by_row_model(
         lambda m: m["intercept"]
         + F.aggregate(F.zip_with(m["weights"], "_x", lambda w, v: w * v), F.lit(0.0), lambda a, b: a + b),
     )
-    scored = df.join(models, list(model_key), "inner").withColumn("_x", x).withColumn("_z", logits)
+    scored = df.join(models, list(model_key), "left").withColumn("_x", x).withColumn("_z", logits)
     scored = scored.withColumn("_top", F.array_max("_z"))
     scored = scored.withColumn("_e", F.transform("_z", lambda z: F.exp(z - F.col("_top"))))
     scored = scored.withColumn("_s", F.aggregate("_e", F.lit(0.0), lambda a, b: a + b))
@@ -213,11 +221,16 @@ def score_by_row_model(
 
 
 def align_predictions(original: DataFrame, predictions: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Original rows next to their predictions, matched on the row key (never by position)."""
+    """All original rows next to their predictions, matched on the row key (never by position).
+
+    A row without prediction gets NULLs. Columns of both tables besides the key are an error: which
+    one is meant is the caller's choice.
+    """
     check_schema(original, key)
     check_schema(predictions, key)
-    clash = [c for c in predictions.columns if c in original.columns and c not in key]
-    return original.join(predictions.drop(*clash), list(key), "inner")
+    if clash := [c for c in predictions.columns if c in original.columns and c not in key]:
+        raise ValueError(f"both tables have {clash}: drop or rename them on one side")
+    return original.join(predictions, list(key), "left")
 
 
 def alignment_report(original: DataFrame, predictions: DataFrame, key: Sequence[str]) -> DataFrame:

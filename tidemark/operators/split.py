@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import PLAIN_VALUES, running_before
+from tidemark.operators.ordering import running_before
 from tidemark.sources.workspace import Summary
 
 DIGITS = 3  # hex digits per refinement level: 4096 buckets
@@ -49,15 +49,14 @@ def stratified_split(
     fractions: Mapping[str, float] | None = None,
     seed: int = 42,
     rest: str = "train",
-    plain_rows: int = PLAIN_VALUES,
 ) -> DataFrame:
     """Adds ``split``: exact per-class quotas, the same rows for any partitioning.
 
     Rows of a class are ranked by ``md5(seed|key)``; the first part takes the lowest ranks, the next
     part the following ones, ``rest`` what remains. All that is needed is the last hash of each class
-    and part; a map-only pass then compares every row with these cut-offs. Beyond ``plain_rows`` rows
-    a histogram over the leading hash digits finds the bucket each quota falls into, a second one
-    refines that bucket, and only its remainder is sorted.
+    and part; a map-only pass then compares every row with these cut-offs. A histogram over the
+    leading hash digits finds the bucket each quota falls into, a second one refines that bucket,
+    and only its remainder is sorted.
 
     ``key`` must identify a row; rows sharing a key always land on the same side.
     """
@@ -72,7 +71,7 @@ def stratified_split(
         _text(key).alias("k"),
     )
     counts = Summary(hashed.groupBy("class").agg(F.count("*").alias("n")))
-    rows = _require_splittable(counts.rows, fractions, stratified=label is not None)
+    _require_splittable(counts.rows, fractions, stratified=label is not None)
     bounds = Summary(
         class_quotas(counts.rows, fractions).select(
             "class",
@@ -82,7 +81,7 @@ def stratified_split(
         )
     )
     cuts = Summary(
-        (_plain_cuts if rows <= plain_rows else _refined_cuts)(hashed, bounds)
+        _refined_cuts(hashed, bounds)
         .groupBy("class")
         .agg(F.map_from_entries(F.collect_list(F.struct("part", "at"))).alias("cuts"))
     )
@@ -98,14 +97,8 @@ def stratified_split(
     )
 
 
-def _plain_cuts(hashed: DataFrame, bounds: Summary) -> DataFrame:
-    """Last place of every class and part, from one running count per class."""
-    placed = hashed.groupBy("class", F.struct("h", "k").alias("at")).agg(F.count("*").alias("n"))
-    return _containing(placed.withColumn("start", running_before("n", ["class"], "at")), bounds, ["class"], "at")
-
-
 def _refined_cuts(hashed: DataFrame, bounds: Summary) -> DataFrame:
-    """The same places by refinement: only rows that share two hash prefixes with a cut are sorted."""
+    """Last place of every class and part by refinement: only rows that share two hash prefixes with a cut are sorted."""
     first, second = F.substring("h", 1, DIGITS), F.substring("h", DIGITS + 1, DIGITS)
     level1 = hashed.groupBy("class", first.alias("b1")).agg(F.count("*").alias("n"))
     level1 = level1.withColumn("start", running_before("n", ["class"], "b1"))
@@ -144,13 +137,13 @@ def _restrict(hashed: DataFrame, cut: Summary, names: list[str], values: list[Co
     return joined.select("class", "h", "k", *[F.col(f"_{n}").alias(n) for n in names if n != "class"], "start")
 
 
-def _require_splittable(counts: DataFrame, fractions: Mapping[str, float], stratified: bool) -> int:
-    """The number of rows, or ValueError when a part could not hold every class."""
+def _require_splittable(counts: DataFrame, fractions: Mapping[str, float], stratified: bool) -> None:
+    """ValueError when a part could not hold every class."""
     facts = counts.agg(F.sum("n").alias("rows"), F.min("n").alias("rarest"), F.count("*").alias("classes")).first()
     if not facts["rows"]:
         raise ValueError("cannot split an empty table")
     if not stratified:
-        return facts["rows"]
+        return
     if facts["rarest"] < 2:
         raise ValueError("the least populated class has fewer than 2 rows")
     taken = 0
@@ -161,7 +154,6 @@ def _require_splittable(counts: DataFrame, fractions: Mapping[str, float], strat
             raise ValueError(f"part '{name}' would have fewer rows than there are classes")
     if facts["rows"] - taken < facts["classes"]:
         raise ValueError("the remaining part would have fewer rows than there are classes")
-    return facts["rows"]
 
 
 def part(df: DataFrame, name: str) -> DataFrame:

@@ -147,20 +147,19 @@ parts AS (SELECT {key}, ranked.class, CASE {cases} ELSE 'train' END AS split FRO
   ON ranked.class IS NOT DISTINCT FROM quotas.class)"""
 
 
-def _split(name, label, fractions, plain_rows=None):
+def _split(name, label, fractions):
     ctes = split_ctes(label or "0", "orders", "o_orderkey", fractions)
 
     @query(name, f"WITH {ctes} SELECT o_orderkey, split FROM parts")
     def run(spark, folder):
-        options = {} if plain_rows is None else {"plain_rows": plain_rows}
         orders = load_parquet(spark, folder, "orders")
-        return stratified_split(orders, label, ["o_orderkey"], fractions, **options).select("o_orderkey", "split")
+        return stratified_split(orders, label, ["o_orderkey"], fractions).select("o_orderkey", "split")
 
 
 _split("split_exact", "o_orderstatus", {"test": 0.2})
-_split("split_exact_refined", "o_orderstatus", {"test": 0.2}, plain_rows=0)
+_split("split_exact_refined", "o_orderstatus", {"test": 0.2})
 _split("split_three_way", "o_orderpriority", {"test": 0.2, "validation": 0.2})
-_split("split_three_way_refined", "o_orderpriority", {"test": 0.2, "validation": 0.2}, plain_rows=0)
+_split("split_three_way_refined", "o_orderpriority", {"test": 0.2, "validation": 0.2})
 _split("split_unstratified", None, {"test": 0.3})
 
 

@@ -37,7 +37,7 @@ def numeric_describe(spark, folder):
 FROM ({long_sql(FEATURES, "l_returnflag")}) GROUP BY l_returnflag, feature""",
 )
 def numeric_describe_cells(spark, folder):
-    return tidy(profile.describe_numeric(lineitem(spark, folder), FEATURES, ["l_returnflag"], plain_values=0), 4)
+    return tidy(profile.describe_numeric(lineitem(spark, folder), FEATURES, ["l_returnflag"]), 4)
 
 
 @query(

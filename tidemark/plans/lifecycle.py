@@ -25,6 +25,7 @@ from tidemark.sources.tables import TableSpace, load_inference
 from tidemark.sources.workspace import durable
 
 SCALER = "scaler_params"
+MODEL_SCALERS = "model_scalers"
 MODELS = "model_coefficients"
 VERSIONS = "model_versions"
 ALIASES = "model_alias_log"
@@ -54,6 +55,18 @@ class Lifecycle:
     def coefficients(self) -> DataFrame:
         return self.space.read_or_empty(MODELS, COEFFICIENTS)
 
+    def scaler(self, version: int) -> dict:
+        """The scaling that the training data of one version had."""
+        rows = self.space.read(MODEL_SCALERS)
+        return scaler_values(rows.filter((F.col("model_name") == self.model_name) & (F.col("version") == version)))
+
+    def _taken(self) -> DataFrame:
+        """Registered versions, and those that a training run left behind without registering them."""
+        left = self.coefficients().select("model_name", "version", F.lit(None).cast("timestamp").alias("created_at"))
+        if self.space.exists(MODEL_SCALERS):
+            left = left.unionByName(self.space.read(MODEL_SCALERS).select("model_name", "version", F.lit(None).cast("timestamp").alias("created_at")))
+        return self.versions().unionByName(left.distinct())
+
     def _record(self, events: DataFrame) -> None:
         # the events are derived from the table they are appended to, so they are fixed first
         self.space.append(durable(events), ALIASES)
@@ -74,7 +87,8 @@ class Lifecycle:
     ) -> None:
         """Names, optional quality rules, exact stratified split, scaler on the training part only.
 
-        Writes the scaled train and test tables and the scaler parameters fitted on raw values.
+        Writes the scaled train and test tables, the unscaled test table (``*_raw``: every model is tested in the
+        scale it was trained in) and the scaler parameters fitted on raw values. Models keep their own copy.
         """
         rows = check_schema(normalize_names(raw), [*self.features, self.label, *key])
         if rules:
@@ -83,6 +97,7 @@ class Lifecycle:
         params = self.space.overwrite(fit_scaler(part(parts, "train"), self.features), SCALER)
         scales = scaler_values(params)
         columns = [*self.features, self.label]
+        self.space.overwrite(part(parts, "test").select(*columns), f"{self.test_table}_raw")
         for name, table in (("train", self.train_table), ("test", self.test_table)):
             self.space.overwrite(apply_scaler(part(parts, name), scales, self.features).select(*columns), table)
 
@@ -91,22 +106,27 @@ class Lifecycle:
     ) -> LinearModel:
         """Trains on the prepared rows, logs its metrics and registers a new version.
 
-        The version becomes ``challenger`` when a production version exists, else ``baseline``.
+        The version becomes ``challenger`` when a production version exists, else ``baseline``. The version row
+        and then the alias are written last: a run that stops before leaves no usable version, and its number
+        is not given again.
         """
         train, test = self.space.read(self.train_table), self.space.read(self.test_table)
         at = F.lit(ts)
-        rows, events = registry.register(self.versions(), self.alias_log(), self._this(), at)
+        rows, events = registry.register(self._taken(), self.alias_log(), self._this(), at)
         rows = durable(rows)
         version = rows.first()["version"]
         model = train_logreg(
             train, self.features, self.label, max_iter, solver=solver, name=self.model_name, version=version
         )
+        scaler = self.space.read(SCALER).withColumns({"model_name": F.lit(self.model_name), "version": F.lit(version)})
+        events = durable(events)
+        self.space.append(durable(scaler), MODEL_SCALERS)
         self.space.append(self._training_metrics(model, train, test, run_id), METRICS)
         self.space.append(model.to_table(self.space.spark), MODELS)
         signature = self._this(version=version, signature=model_signature(train, self.features))
         self.space.append(signature, SIGNATURES)
-        self._record(events)
         self.space.append(rows, VERSIONS)
+        self._record(events)
         return model
 
     def _training_metrics(self, model: LinearModel, train: DataFrame, test: DataFrame, run_id: str) -> DataFrame:
@@ -129,7 +149,7 @@ class Lifecycle:
     def evaluate_alias(self, alias: str) -> DataFrame:
         """Weighted metrics of the model behind an alias on the test table, with alias and version."""
         model = registry.model_by_alias(self.coefficients(), self.alias_log(), self.model_name, alias)
-        scored = score(self.space.read(self.test_table), model)
+        scored = score(self.space.read(f"{self.test_table}_raw"), model, self.scaler(model.version))
         metrics = evaluate.evaluate_predictions(scored, self.label, "predicted_class")
         return metrics.withColumns({"alias": F.lit(alias), "version": F.lit(model.version)})
 
@@ -140,7 +160,8 @@ class Lifecycle:
         accuracies = self.space.spark.createDataFrame([], "model_name string, version int, accuracy double")
         if all(found.values()):
             models = [LinearModel.from_table(self.coefficients(), self.model_name, v) for v in found.values()]
-            pair = score_pair(self.space.read(self.test_table), *models)
+            scalers = [self.scaler(model.version) for model in models]
+            pair = score_pair(self.space.read(f"{self.test_table}_raw"), *models, *scalers)
             result = evaluate.compare_predictions(pair, self.label, "production_class", "challenger_class")
             accuracies = result.select(
                 F.lit(self.model_name).alias("model_name"),
@@ -175,7 +196,7 @@ class Lifecycle:
         )
         typed = rows.withColumns({f: F.col(f).cast("double") for f in self.features})
         check_signature(typed, contract.first()["signature"])
-        scored = score(typed, model, scaler_values(self.space.read(SCALER)))
+        scored = score(typed, model, self.scaler(model.version))
         history.create_predictions_table(self.space, self.features, model.class_ids)
         history.append_predictions(
             self.space, build_predictions(scored, self.features, model.class_ids, batch_id, ts, alias)

@@ -18,9 +18,20 @@ from tidemark.sources.tables import TableSpace, load_parquet
 
 
 def stream_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Unbounded read of one table of a folder, with the schema of its files."""
+    """Unbounded read of one table of a folder, with the schema of its files.
+
+    The table may be one file or a folder of part files: a stream source wants a folder, so the glob
+    lists the part files of the one and names the file of the other.
+    """
     schema = load_parquet(spark, folder, table).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+    path = f"{folder.rstrip('/')}/{table}.parquet"
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = spark.readStream.schema(schema)
+    if files.getFileStatus(place).isDirectory():
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
 
 
 def score_stream(stream: DataFrame, model: LinearModel, scaler: DataFrame | dict | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import gzip
 import hashlib
 import json
 from collections.abc import Iterator
@@ -77,9 +78,9 @@ def record(rows: DataFrame) -> Column:
 
 
 def write_archives(pages: DataFrame, folder: str) -> str:
-    """WARC 1.1 files of at most ``FILE_RECORDS`` records below ``folder``."""
+    """Gzipped WARC 1.1 files of at most ``FILE_RECORDS`` records below ``folder``."""
     rows = decided(pages)
-    writer = rows.select(record(rows).alias("value")).write.option("lineSep", END * 2).option("maxRecordsPerFile", FILE_RECORDS)
+    writer = rows.select(record(rows).alias("value")).write.option("lineSep", END * 2).option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip")
     writer.text(folder)
     return folder
 
@@ -100,7 +101,7 @@ def _number(uri: str | None) -> int | None:
 
 
 def parse_archive(name: str, data: bytes) -> list[tuple]:
-    """Index rows of all records, in ``FIELDS`` order; payloads are checked against their digests."""
+    """Index rows of all records (offsets are those of the uncompressed archive), in ``FIELDS`` order; payloads are checked against their digests."""
     rows, at = [], 0
     while at < len(data):
         stop = data.index(b"\r\n\r\n", at)
@@ -168,7 +169,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each archive's index as one locally sorted run."""
     for batch in batches:
         for name, data in zip(batch.column(0), batch.column(1)):
-            rows = sorted(parse_archive(name.as_py().rpartition("/")[2], data.as_py()), key=capture_order)
+            rows = sorted(parse_archive(name.as_py().rpartition("/")[2], gzip.decompress(data.as_py())), key=capture_order)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([rows[0][7]]), pa.array([len(rows)], pa.int64()), pa.array([json.dumps(rows)])], ["run", "n", "rows"])
 

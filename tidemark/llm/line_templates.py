@@ -22,15 +22,21 @@ KEPT_SHARE = 0.6
 WILD = "<*>"
 
 
+def _masked(tokens):
+    return F.when(tokens.rlike("[0-9]"), F.regexp_replace(tokens, r"[^ ]*[0-9][^ ]*", WILD)).otherwise(tokens)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line_no, leaf, line): whitespace-trimmed, with variable tokens masked; blank lines left out."""
     text = F.col("text").cast("string")
     lines = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("row"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
-    squeezed = F.trim(F.regexp_replace("raw", r"[ \t\r]+", " "))
-    masked = F.regexp_replace(squeezed, r"[^ ]*[0-9][^ ]*", WILD)
-    lines = lines.select("doc_id", "row", "line_no", masked.alias("line")).where("line <> ''")
-    count = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    return lines.withColumn("leaf", F.concat_ws(" ", count, F.substring_index("line", " ", DEPTH)))
+    # only irregular white space and lines with digits go through the expensive replacements
+    squeezed = F.trim(F.regexp_replace("raw", r"[\t\r]|[ \t\r]{2,}", " "))
+    squeezed = F.trim(F.regexp_replace(squeezed, " {2,}", " "))
+    lines = lines.select("doc_id", "row", "line_no", squeezed.alias("squeezed")).where("squeezed <> ''")
+    count = F.length("squeezed") - F.length(F.replace("squeezed", F.lit(" "), F.lit(""))) + 1
+    leaf = F.concat_ws(" ", count, _masked(F.substring_index("squeezed", " ", DEPTH)))
+    return lines.select("doc_id", "row", "line_no", _masked(F.col("squeezed")).alias("line"), leaf.alias("leaf"))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, kept_share: float = KEPT_SHARE) -> DataFrame:
@@ -49,9 +55,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, kept_share: float
     templates = judged.groupBy("leaf", "line").agg(F.concat_ws(" ", ordered["word"]).alias("general"), kept.alias("kept"), F.max("docs").alias("docs"))
     templates = templates.select("leaf", "line", "docs", F.when(F.col("kept") >= kept_share, F.col("general")).otherwise(F.col("line")).alias("template"))
     templates = stored(templates, "templates")
-    placed = inside.join(templates, ["leaf", "line"]).select("doc_id", "row", "line_no", "leaf", "template")
-    common = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(f"most >= {min_docs}").select("leaf", "template")
-    placed = stored(placed.join(common, ["leaf", "template"]), "placed")
+    placed = stored(inside.join(templates, ["leaf", "line"]).select("doc_id", "row", "line_no", "leaf", "template"), "placed")
     # a document with two lines of a template counts once
     recurring = placed.select("leaf", "template", "doc_id", "row").distinct().groupBy("leaf", "template").agg(F.count("*").alias("docs")).where(f"docs >= {min_docs}")
     recurring = stored(recurring.select("leaf", "template"), "recurring")

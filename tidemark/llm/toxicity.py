@@ -2,8 +2,8 @@
 
 Two zstandard dictionaries are trained, on toxic and on ordinary text. Toxic and ordinary rows share almost all
 of their words, so both begin with one base dictionary trained on ordinary windows and differ in an end of equal
-size: the words of toxic rows that are ``LIFT`` times as frequent there, or common words of ordinary rows. Word
-counts cover all learning rows. A window of words is compressed with both; how much shorter the toxic dictionary
+size: the words of toxic rows that are ``LIFT`` times as frequent there, or common words of ordinary rows. The
+classifier is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``); scores cover everything. A window of words is compressed with both; how much shorter the toxic dictionary
 makes it is evidence that ordinary text does not explain. A document's shares of windows beyond several gains
 are calibrated to a probability on labelled rows that trained no dictionary.
 """
@@ -26,8 +26,9 @@ from tidemark.llm.common import pieces, stored
 WINDOW_WORDS, BASE_BYTES, SIDE_BYTES, LEVEL = 8, 110_000, 4096, 3
 #: A distinctive word is in this share of toxic rows, in three of them, and so many times rarer in ordinary rows.
 SHARE, LIFT = 0.01, 10.0
-#: Labelled rows at most, about, whose text trains a dictionary or calibrates the score, by class (bounded samples by hash).
-TRAIN_ROWS, CALIBRATION_ROWS = 3000, 6000
+#: Labelled rows that the classifier is fitted on, at most, about: ordinary and toxic ones, by hash of doc_id. Two thirds
+#: of them train (at most TRAIN_ROWS of the ordinary ones the base dictionary), one third calibrates.
+SAMPLE_ROWS, TRAIN_ROWS = (18_000, 9_000), 3000
 GAINS = (2, 3, 4, 5, 6)
 WIDTH = len(GAINS) + 4
 #: The commonest words of ordinary rows are in the base anyway; the ordinary end starts after so many.
@@ -91,15 +92,15 @@ class Distance:
         x = (features - self.centre) / self.scale
         return 1.0 / (1.0 + np.exp(-np.clip(self.weights[0] + x @ self.weights[1:], -30, 30)))
 
-    def calibrate(self, features: np.ndarray, toxic: np.ndarray) -> None:
-        """Logistic regression with a small ridge, by Newton steps."""
+    def calibrate(self, features: np.ndarray, toxic: np.ndarray, weight: np.ndarray | float = 1.0) -> None:
+        """Logistic regression with a small ridge, by Newton steps; ``weight`` undoes unequal sampling of the classes."""
         self.centre, self.scale = features.mean(axis=0), np.maximum(features.std(axis=0), 1e-9)
         x = np.column_stack([np.ones(len(features)), (features - self.centre) / self.scale])
         self.weights = np.zeros(x.shape[1])
         for _ in range(50):
             p = 1.0 / (1.0 + np.exp(-np.clip(x @ self.weights, -30, 30)))
             ridge = np.diag([1e-6] + [1.0] * (x.shape[1] - 1))
-            step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (toxic - p) - ridge @ self.weights)
+            step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + ridge, x.T @ (weight * (toxic - p)) - ridge @ self.weights)
             self.weights += step
             if abs(step).max() < 1e-8:
                 break
@@ -110,12 +111,18 @@ def _sample(rows: DataFrame, salt: str, bound: int, count: int) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Distance:
-    """Dictionaries from two thirds of the labelled rows where ``learn`` holds, calibration from the last third.
+    """Dictionaries from two thirds of the sampled labelled rows where ``learn`` holds, calibration from the last third.
 
-    Rows with equal texts count once. With no toxic or no ordinary row every score is 0.
+    Sampling looks at ids and labels only; the texts of the sample are then picked out of the scan. Rows with equal
+    texts count once. With no toxic or no ordinary row every score is 0.
     """
     known = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.where(learn).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(known, "doc_id")
+    ids = stored(docs.where(learn).select("doc_id").join(known, "doc_id").distinct(), "labelled-ids")
+    whole = {r["toxic"]: r["n"] for r in ids.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    total = F.when(F.col("toxic") == 1, whole.get(1, 1)).otherwise(whole.get(0, 1))
+    bound = F.when(F.col("toxic") == 1, SAMPLE_ROWS[1]).otherwise(SAMPLE_ROWS[0])
+    picked = F.broadcast(ids.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), total) < bound))  # bounded by SAMPLE_ROWS
+    rows = docs.where(learn).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(picked, "doc_id")
     rows = stored(rows.groupBy("text").agg(F.max("toxic").alias("toxic")).withColumn("key", F.xxhash64("text")), "labelled")
     role = F.pmod(F.xxhash64(F.lit("role"), "key"), F.lit(3))
     fitting, checking = rows.where(role < 2), rows.where(role == 2)
@@ -127,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Distance:
         return distance
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 4 << 20):
+        for batch in pieces(batches, "text", 1 << 20):
             bags = [list(set(words_of(t))) for t in batch.column("text").to_pylist()]
             flat = [w for bag in bags for w in bag]
             kinds = np.repeat(batch.column("toxic").to_numpy(), [len(b) for b in bags])
@@ -145,14 +152,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Distance:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = shared.value.compressors()
-        for batch in pieces(batches, "text", 4 << 20):
+        for batch in pieces(batches, "text", 1 << 20):
             found = shared.value.features(batch.column("text").to_pylist(), compressors)
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *map(pa.array, found.T)], ["toxic", *(f"f{i}" for i in range(WIDTH))])
 
     kind = "toxic int, " + ", ".join(f"f{i} double" for i in range(WIDTH))
-    parts = [_sample(checking.where(F.col("toxic") == k), "check", CALIBRATION_ROWS, sizes[(True, k)]) for k in (0, 1)]
-    seen = parts[0].union(parts[1]).select("text", "toxic").mapInArrow(measure, kind).toPandas()
-    distance.calibrate(seen.drop(columns="toxic").to_numpy(), seen["toxic"].to_numpy())
+    seen = checking.select("text", "toxic").mapInArrow(measure, kind).toPandas()
+    toxic = seen["toxic"].to_numpy()
+    weight = max(1.0, whole[0] / SAMPLE_ROWS[0]) / max(1.0, whole[1] / SAMPLE_ROWS[1])
+    distance.calibrate(seen.drop(columns="toxic").to_numpy(), toxic, np.where(toxic == 1, 1.0, weight))
     return distance
 
 
@@ -167,7 +175,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = No
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = shared.value.compressors()
-        for batch in pieces(batches, "text", 4 << 20):
+        for batch in pieces(batches, "text", 1 << 20):
             found = shared.value.probability(shared.value.features(batch.column("text").to_pylist(), compressors))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "score"])
 

@@ -6,6 +6,7 @@ Neighbouring strings with one anchor form a segment of text, and the segments of
 that can be sorted anywhere: each task sorts its buckets block by block with a difference cover, which bounds
 memory by the block. Equal segments are combined before the shuffle, so a passage that a third of all
 documents share is one row of every task. Strings themselves are compared, hashes only bring them together.
+Copies of a whole text need no search: the one with the smallest doc_id stands for them.
 """
 
 from __future__ import annotations
@@ -20,18 +21,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import KeyFilter, mix64, parallelism, pieces, raw_bytes, stored, text_or_empty
+from tidemark.llm.common import KeyFilter, mix64, parallelism, pieces, raw_bytes, release_shuffles, stored, text_or_empty
 from tidemark.llm.golomb import by_owner, decode, encode
 from tidemark.llm.suffixes import PERIOD, equal_runs
 from tidemark.llm.words import rolling
 
-LENGTH, GRAM = 50, 24
-BATCH_BYTES = 4 << 20
+LENGTH, GRAM = 50, 16
+BATCH_BYTES = 2 << 20
 #: Bytes of segments in a block, and suffixes in a bucket that is sorted at once.
 BLOCK_BYTES, BUCKET_SUFFIXES = 2 << 20, 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 #: Low bits that hold a position while minima are taken; texts beyond are handled by wider ones.
-_PLACE_BITS = 24
+_PLACE_BITS = 22
 #: Bits of an anchor hash that are exchanged.
 _SENT_BITS = 48
 
@@ -47,7 +48,7 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     none = np.empty(0, np.int64)
     if len(data) < LENGTH:
         return none, none, none.astype(np.uint64)
-    size = 1 << max(_PLACE_BITS - 1, int(len(data)).bit_length())
+    size = 1 << max(_PLACE_BITS, int(len(data)).bit_length())
     powers, inverses = _powers(size)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)])])
     hashes = mix64((sums[GRAM:] - sums[:-GRAM]) * inverses[: len(sums) - GRAM])
@@ -104,6 +105,14 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
     return stored(sent.groupBy("owner").applyInArrow(answer, "h long"), "anchors")
 
 
+def _later_copies(rows: DataFrame) -> DataFrame:
+    """The doc_ids all of whose texts also occur under a smaller doc_id."""
+    digests = stored(rows.select("doc_id", F.unhex(F.sha2("text", 256)).alias("sha")), "digests")
+    first = digests.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    copies = digests.join(first, "sha", "left").groupBy("doc_id").agg(F.bool_and(F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))).alias("copy"))
+    return stored(copies.where("copy").select("doc_id"), "copies")
+
+
 def _least_holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From segments (h, segment, low, high) sorted by h: for each, the smallest document of every string in it.
 
@@ -187,10 +196,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("row").take(take), pa.array(first - offsets[text]), pa.array(h.view(np.int64)), found], ["doc_id", "row", "start", "h", "segment"])
 
     cuts = texts.mapInArrow(cut_out, "doc_id long, row long, start long, h long, segment binary")
-    cuts = stored(cuts.withColumn("key", F.xxhash64("segment")), "segments")
+    release_shuffles(spark)
+    cuts = stored(cuts.withColumn("key", F.xxhash64("segment")), "segments", "zstd")
     distinct = cuts.groupBy("h", "segment", "key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     bucketed = distinct.repartition("h").sortWithinPartitions("h").select("h", "segment", "low", "high", "key")
-    found = bucketed.mapInArrow(_least_holders, "h long, key long, at array<long>, until array<long>, least array<long>")
+    found = stored(bucketed.mapInArrow(_least_holders, "h long, key long, at array<long>, until array<long>, least array<long>"), "holders")
+    release_shuffles(spark)
     # a segment is known by the hash of its anchor and its own: a very common one is split by the skew join
     met = cuts.select("doc_id", "row", "start", "h", "key").join(found, ["h", "key"])
     ranges = F.arrays_zip("at", "until", "least")
@@ -206,17 +217,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     others; rows with the same doc_id are no smaller than each other. An empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text")).withColumn("row", F.xxhash64("text"))
-    spans = repeated_spans(rows.where("doc_id IS NOT NULL").select("doc_id", "row", "text"))
-    joined = rows.join(spans, ["doc_id", "row"], "left").select("doc_id", "text", F.col("spans.a").alias("a"), F.col("spans.b").alias("b"))
+    known = rows.where("doc_id IS NOT NULL").select("doc_id", "row", "text")
+    copies = _later_copies(known)
+    spans = repeated_spans(known.join(copies, "doc_id", "left_anti"))
+    whole = copies.withColumn("copy", F.lit(True))
+    joined = rows.join(whole, "doc_id", "left").join(spans, ["doc_id", "row"], "left")
+    joined = joined.select("doc_id", "text", F.col("spans.a").alias("a"), F.col("spans.b").alias("b"), F.col("copy").isNotNull().alias("copy"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", BATCH_BYTES):
             data, offsets = raw_bytes(batch.column("text"))
             out = []
-            for i, (a, b) in enumerate(zip(batch.column("a"), batch.column("b"))):
+            for i, (a, b, copy) in enumerate(zip(batch.column("a"), batch.column("b"), batch.column("copy").to_pylist())):
                 text = data[offsets[i] : offsets[i + 1]]
                 removed = runs = 0
-                if a.is_valid:
+                if copy and len(text) >= LENGTH:
+                    removed, runs, text = len(text), 1, text[:0]
+                elif a.is_valid:
                     steps = np.zeros(len(text) + 1, np.int32)
                     np.add.at(steps, a.values.to_numpy(), 1)
                     np.add.at(steps, b.values.to_numpy(), -1)

@@ -21,7 +21,7 @@ from tidemark.llm.words import ALNUM, Words, grams, rolling
 WINDOW = 13
 GRAM = 5
 #: Working memory of a task is some fifty times this many bytes of text.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def _tagged(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -33,7 +33,7 @@ CALIBRATION_DOCS = 4000
 MARGIN, CALIBRATION_SHARE = 0.7, 0.999
 #: Characters after which more text makes neither score nor rejection stricter.
 SURE = 60
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 BEGIN, END = 0x20, 0x0A
 _FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 ROOT = np.uint64(1)
@@ -123,7 +123,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 grams, sample, where = np.unique(hashes[n][at], return_index=True, return_inverse=True)
                 first = at[sample]
                 held.append(pd.DataFrame({"lang": lang, "n": n, "gram": grams, "context": hashes[n - 1][first - 1], "suffix": hashes[n - 1][first], "opens": place[first] == n - 1, "count": np.bincount(where, weights=weight[at]).astype(np.int64)}))
-        if sum(map(len, held)) > 1 << 20:
+        if sum(map(len, held)) > 1 << 18:
             held = [compact()]
     if held:
         out = compact()

@@ -26,7 +26,7 @@ from tidemark.llm.words import VISIBLE, Words
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Fingerprints that share a segment at most before its holders look up whole fingerprints (2,081 each).
 CROWD = 512
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _SPREAD = np.array([sum((v >> t & 1) << 8 * t for t in range(8)) for v in range(256)], np.uint64)
 
 

@@ -41,7 +41,7 @@ def test_pipeline_by_brute_force(spark, tmp_path):
     texts += [(50 + i, prose(1000 + i, 80).replace(" ", " \n ")) for i in range(5)]
     texts += [(60, f"{prose(1100, 30)} {item}"), (61, prose(1200, 900)), (62, "1 2 3 !!"), (63, None), (64, "")]
     texts += [(70 + i, f"{prose(1200, 900)} tail{'ab'[i]}") for i in range(2)]
-    documents(spark, texts).withColumn("lang", documents(spark, texts).source).selectExpr("*").drop("lang").selectExpr("*", "'xx' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
+    documents(spark, texts).drop("lang").selectExpr("*", "'xx' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     left = [(i, t) for i, t in texts if t and any(c.isalpha() for c in t)]
     stay = {i for i, _, _, kept, _ in copies(left) if kept}

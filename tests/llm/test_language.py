@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.frames import TEXTS, documents
 from tidemark.llm import language
-from tidemark.llm.language import BEGIN, END, ORDER, CharModels, WordBag, _count_batches, held_out, identify
+from tidemark.llm.language import BEGIN, END, ORDER, CharModels, WordBag, _count_batches, held_out, identify, train
 
 SYLLABLES = {"aa": ["ka", "to", "mi", "ne", "ru"], "bb": ["sch", "ung", "ein", "ver", "keit"], "cc": ["éa", "oux", "que", "tion", "ré"]}
 
@@ -122,3 +122,13 @@ def test_word_bag():
     words = ["".join(map(chr, bag.points[a + 1 : b - 1])) for a, b in zip(bag.starts, bag.starts[1:])]
     assert [(words[c], t) for c, t in zip(bag.codes, bag.texts)] == [("ab", 0), ("ab", 0), ("ß", 0), ("x", 0), ("中文", 3), ("ab", 3)]
     assert language.ROOT == 1
+
+
+def test_models_keep_every_gram_of_a_large_alphabet(spark):
+    rng = random.Random(3)
+    rows = [(i, "zh", " ".join("".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(4)) for _ in range(600))) for i in range(100)]
+    models = train(table(spark, rows), F.lit(True)).models
+    place, hashes = WordBag.of(pa.array([t for _, _, t in rows])).grams()
+    for n in range(1, ORDER + 1):
+        assert np.isin(hashes[n][place >= max(1, n - 1)], models.grams).all()
+    assert len(np.unique(hashes[4][place >= 3])) > 1 << 17

@@ -2,8 +2,9 @@
 
 Models see letters only, word by word: n-grams of up to ``ORDER`` characters from the word's start to its end.
 Counts cover every training row. Tasks count n-grams over their distinct words, Spark adds the counts up, and
-the driver turns the (bounded) tables into probabilities: sorted arrays of n-gram hashes beside one row of log
-probabilities per language, and the same for the back-off weights of contexts. The language with the lowest
+the driver turns the whole tables into probabilities: sorted arrays of n-gram hashes beside one row of log
+probabilities per language, and the same for the back-off weights of contexts. No n-gram is left out, so models
+grow with the number of distinct ones. The language with the lowest
 cross-entropy per character wins; a document whose cross-entropy even then lies beyond what the language's own
 training rows show is rejected.
 """
@@ -18,14 +19,12 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mix64, pieces, raw_bytes, stored
 
 ORDER = 4
-#: n-grams per language and order at most, the most frequent ones: the size of the model, not of what is counted.
-MODEL_GRAMS = 1 << 17
 #: Training rows scored to calibrate rejection, about (a bounded sample by hash).
 CALIBRATION_DOCS = 4000
 #: Rejection needs this much more cross-entropy (nats) than usual, and beyond that more than all but this share of
@@ -250,11 +249,7 @@ def train(docs: DataFrame, learn: Column) -> Identifier:
     kind = "lang string, n int, gram long, context long, suffix long, opens boolean, count long"
     grams = rows.select("lang", "text").mapInArrow(_count_batches, kind)
     summed = stored(grams.groupBy("lang", "n", "gram").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.first("opens").alias("opens"), F.sum("count").alias("count")), "grams")
-    # the count from which on a language and order have at most MODEL_GRAMS n-grams
-    sizes = summed.groupBy("lang", "n", "count").agg(F.count("*").alias("kinds"))
-    running = F.sum("kinds").over(Window.partitionBy("lang", "n").orderBy(F.desc("count")))
-    floor = sizes.withColumn("running", running).where(f"running <= {MODEL_GRAMS}").groupBy("lang", "n").agg(F.min("count").alias("floor"))
-    models = CharModels.fit(summed.join(floor, ["lang", "n"]).where("count >= floor").drop("floor").toPandas())
+    models = CharModels.fit(summed.toPandas())
     column = {lang: i for i, lang in enumerate(models.languages)}
     shared = docs.sparkSession.sparkContext.broadcast(models)
     total = max(1, rows.select("doc_id").count())

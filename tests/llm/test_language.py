@@ -132,3 +132,15 @@ def test_models_keep_every_gram_of_a_large_alphabet(spark):
     for n in range(1, ORDER + 1):
         assert np.isin(hashes[n][place >= max(1, n - 1)], models.grams).all()
     assert len(np.unique(hashes[4][place >= 3])) > 1 << 17
+
+
+def test_rejection_bounds_cover_all_rows(spark):
+    rows = [r for r in texts(9000, 3) if r[1] != "cc"] + [(9000 + i, "cc", t) for i, _, t in [r for r in texts(60, 3, 1) if r[1] == "cc"][:3]]
+    found = train(table(spark, rows), F.lit(True))
+    entropy, length = found.models.text_scores(pa.array([t for *_, t in rows]))
+    for i, lang in enumerate(found.models.languages):
+        own = np.array([r[1] == lang for r in rows]) & (entropy.argmin(axis=1) == i)
+        mean = entropy[own, i].mean()
+        beyond = (entropy[own, i] - mean) * np.sqrt(np.minimum(length[own], language.SURE))
+        assert found.usual[i] == pytest.approx(mean) and found.excess[i] == pytest.approx(max(1.0, np.quantile(beyond, language.CALIBRATION_SHARE)))
+    assert np.isfinite(found.excess).all()

@@ -23,12 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mix64, pieces, raw_bytes, stored
+from tidemark.operators.ordering import exact_quantiles
 
 ORDER = 4
-#: Training rows scored to calibrate rejection, about (a bounded sample by hash).
-CALIBRATION_DOCS = 4000
 #: Rejection needs this much more cross-entropy (nats) than usual, and beyond that more than all but this share of
-#: a language's calibration rows. Meant for text in none of the languages, not for unusual documents in one.
+#: a language's training rows. Meant for text in none of the languages, not for unusual documents in one.
 MARGIN, CALIBRATION_SHARE = 0.7, 0.999
 #: Characters after which more text makes neither score nor rejection stricter.
 SURE = 60
@@ -252,8 +251,6 @@ def train(docs: DataFrame, learn: Column) -> Identifier:
     models = CharModels.fit(summed.toPandas())
     column = {lang: i for i, lang in enumerate(models.languages)}
     shared = docs.sparkSession.sparkContext.broadcast(models)
-    total = max(1, rows.select("doc_id").count())
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(total)) < CALIBRATION_DOCS
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", BATCH_BYTES):
@@ -264,12 +261,15 @@ def train(docs: DataFrame, learn: Column) -> Identifier:
             values = entropy[np.flatnonzero(right), own[right]]
             yield pa.RecordBatch.from_arrays([pa.array(own[right].astype(np.int32)), pa.array(values), pa.array(length[right])], ["own", "entropy", "length"])
 
-    seen = rows.where(chosen).select("lang", "text").mapInArrow(score, "own int, entropy double, length long").toPandas()
+    seen = stored(rows.select("lang", "text").mapInArrow(score, "own int, entropy double, length long"), "scored")
     usual, excess = np.zeros(len(column)), np.full(len(column), np.inf)
-    for i, part in seen.groupby("own"):
-        usual[i] = part["entropy"].mean()
-        beyond = (part["entropy"] - usual[i]) * np.sqrt(np.minimum(part["length"], SURE))
-        excess[i] = max(1.0, beyond.quantile(CALIBRATION_SHARE))
+    means = seen.groupBy("own").agg(F.avg("entropy").alias("mean")).toPandas()
+    if len(means):
+        usual[means["own"]] = means["mean"]
+        mean = F.get(F.array(*map(F.lit, usual.tolist())), F.col("own"))
+        beyond = (F.col("entropy") - mean) * F.sqrt(F.least("length", F.lit(SURE)))
+        tails = exact_quantiles(seen.select("own", beyond.alias("beyond")), ["beyond"], [CALIBRATION_SHARE], ["own"]).toPandas()
+        excess[tails["own"]] = np.maximum(1.0, tails["value"])
     return Identifier(models, usual, excess)
 
 

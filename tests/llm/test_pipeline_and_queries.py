@@ -18,7 +18,7 @@ found = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not fo
 
 
 def test_names():
-    assert [int(n.split("_")[0][2:]) for n in QUERIES] == list(range(1, 11)) and set(ORACLES) < set(QUERIES)
+    assert [int(n.split("_")[0][2:]) for n in QUERIES] == list(range(1, len(QUERIES) + 1)) and set(ORACLES) < set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(registered.queries())
 
 

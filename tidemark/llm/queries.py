@@ -10,6 +10,7 @@ from tidemark.llm.decontamination import contamination
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.language import held_out, identify
 from tidemark.llm.line_templates import without_recurring_lines
+from tidemark.llm.multiset_prints import edited_likeness
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.llm.simhash import near_groups
@@ -70,6 +71,10 @@ def op10_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_cutting_stock_packing": op2_cutting_stock_packing,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_multi_index_simhash": op9_multi_index_simhash,
     "op10_line_template_dedup": op10_line_template_dedup,
+    "op11_multiset_fingerprints": op11_multiset_fingerprints,
 }
 
 ORACLES = {

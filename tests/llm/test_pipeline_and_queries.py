@@ -9,7 +9,9 @@ import corpus_pipeline
 from tests.llm.frames import documents, prose
 from tests.llm.test_decontamination import brute as contaminated
 from tests.llm.test_exact_dedup import brute as copies
+from tests.llm.test_multiset_prints import brute as edited
 from tests.llm.test_simhash import brute as near
+from tests.llm.test_spelling import brute_variants, brute_words, held
 from tests.oracle import compare, connect
 from tidemark.llm.queries import ORACLES, QUERIES
 
@@ -29,12 +31,26 @@ def test_query_matches_sql(spark, name):
 
 
 @found
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op12_partenum_spelling"}))
 def test_query_gives_every_document(spark, name):
     rows = QUERIES[name](spark, FOLDER).select("doc_id").distinct().count()
     assert rows == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
 
 
+@found
+def test_spelling_query_by_brute_force(spark):
+    texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    found = QUERIES["op12_partenum_spelling"](spark, FOLDER)
+    assert held(found, *found.columns) == brute_variants(brute_words(texts))
+
+
+@found
+def test_fingerprint_query_by_brute_force(spark):
+    texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    found = QUERIES["op11_multiset_fingerprints"](spark, FOLDER)
+    assert held(found, "doc_id", "n_chars", "edited_sha256") == sorted((r[:3] for r in edited(texts)), key=repr)
+
+
 def test_pipeline_by_brute_force(spark, tmp_path):
     item = prose(31, 40)
     texts = [(i, prose(1000 + i, 80)) for i in range(40)]

@@ -14,6 +14,7 @@ from tidemark.llm.multiset_prints import edited_likeness
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.llm.simhash import near_groups
+from tidemark.llm.spelling import corpus_words, spelling_variants
 from tidemark.llm.substring_dedup import without_repeats
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.warc import archive
@@ -75,6 +76,10 @@ def op11_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(documents(spark, sf_dir))
 
 
+def op12_partenum_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(corpus_words(documents(spark, sf_dir), damage=199))
+
+
 QUERIES = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_cutting_stock_packing": op2_cutting_stock_packing,
@@ -87,6 +92,7 @@ QUERIES = {
     "op9_multi_index_simhash": op9_multi_index_simhash,
     "op10_line_template_dedup": op10_line_template_dedup,
     "op11_multiset_fingerprints": op11_multiset_fingerprints,
+    "op12_partenum_spelling": op12_partenum_spelling,
 }
 
 ORACLES = {

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.hard_negatives import hard_negatives, quantised
 from tidemark.llm.language import held_out, identify
 from tidemark.llm.line_templates import without_recurring_lines
 from tidemark.llm.multiset_prints import edited_likeness
@@ -80,6 +81,12 @@ def op12_partenum_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(corpus_words(documents(spark, sf_dir), damage=199))
 
 
+def op13_bond_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load_parquet(spark, sf_dir, "embeddings").withColumn("label", F.col("label").cast("long"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(quantised(rows.withColumn("label", moved)), "vec_id % 100 = 0")
+
+
 QUERIES = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_cutting_stock_packing": op2_cutting_stock_packing,
@@ -93,6 +100,7 @@ QUERIES = {
     "op10_line_template_dedup": op10_line_template_dedup,
     "op11_multiset_fingerprints": op11_multiset_fingerprints,
     "op12_partenum_spelling": op12_partenum_spelling,
+    "op13_bond_hard_negatives": op13_bond_hard_negatives,
 }
 
 ORACLES = {
@@ -137,4 +145,17 @@ ORACLES = {
           sha256(coalesce(CASE WHEN gone IS NULL THEN text
             ELSE array_to_string(list_transform(list_filter(range(1, len(a) + 1), lambda j: NOT list_contains(gone, j)), lambda j: a[j]), chr(10)) END, '')) AS kept_sha256
         FROM s LEFT JOIN z USING (doc_id)""",
+    "op13_bond_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+          FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+          vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5""",
 }

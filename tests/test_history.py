@@ -8,6 +8,7 @@ from tidemark.operators import batch
 from tidemark.operators.scoring import LinearModel, score
 from tidemark.sources import predictions as history
 from tidemark.sources import tables
+from tidemark.sources.ledger import Ledger
 from tidemark.streaming import scores
 
 MODEL = LinearModel("m", 2, ("a", "b"), (0, 1), (0.0, 0.1), ((1.0, -1.0), (0.3, 0.2)))
@@ -100,18 +101,48 @@ def test_stream_scores_equal_batch_scores(spark, rows, tmp_path):
     assert found.count() == 20 and found.exceptAll(expected.select(*found.columns)).isEmpty()
 
 
+def without_commits(state):
+    """As if the process had died after the write and before the commit of the micro-batch."""
+    for entry in (state / "commits").iterdir():
+        if entry.is_file():
+            entry.unlink()
+
+
 def test_stream_into_history_does_not_repeat_a_batch(spark, space, rows, tmp_path):
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    history.create_predictions_table(space, MODEL.features, MODEL.class_ids)
+    ledger = history.predictions_ledger(space, MODEL.features, MODEL.class_ids, [("id", "BIGINT")])
     state = tmp_path / "state"
-    scores.append_scored_batches(space, stream, MODEL, str(state), clock=lambda: STAMP).awaitTermination()
-    # as if the process had died after the write and before the commit of the micro-batch
-    for entry in (state / "commits").iterdir():
-        if entry.is_file():
-            entry.unlink()
-    scores.append_scored_batches(space, stream, MODEL, str(state), clock=lambda: STAMP).awaitTermination()
-    assert space.read(history.PREDICTIONS).count() == 20
+    for _ in range(2):
+        scores.append_scored_batches(ledger, stream, MODEL, str(state), clock=lambda: STAMP, key=["id"]).awaitTermination()
+        without_commits(state)
+    assert ledger.read().count() == 20 and ledger.published().select("batch_id").distinct().count() == 1
+
+
+@pytest.mark.parametrize("dies", ["stage", "publish"])
+def test_stream_that_dies_while_it_appends_gives_each_row_once(spark, space, rows, tmp_path, monkeypatch, dies):
+    rows.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    ledger = history.predictions_ledger(space, MODEL.features, MODEL.class_ids, [("id", "BIGINT")])
+    state = str(tmp_path / "state")
+    step, calls = getattr(Ledger, dies), []
+
+    def stop(self, batch, *more):
+        calls.append(1)
+        if len(calls) == 3:
+            if dies == "stage":
+                step(self, batch.limit(2), *more)  # some of its rows are in the table
+            raise RuntimeError("died")
+        return step(self, batch, *more)
+
+    monkeypatch.setattr(Ledger, dies, stop)
+    with pytest.raises(Exception, match="died"):
+        scores.append_scored_batches(ledger, stream, MODEL, state, clock=lambda: STAMP, key=["id"]).awaitTermination()
+    left = ledger.read().count()
+    assert 0 < left < 20 and space.read(ledger.table).count() > left
+    monkeypatch.setattr(Ledger, dies, step)
+    scores.append_scored_batches(ledger, stream, MODEL, state, clock=lambda: STAMP, key=["id"]).awaitTermination()
+    assert sorted(r["id"] for r in ledger.read().collect()) == list(range(20))
 
 
 def test_daily_windows_close_with_the_watermark(spark, tmp_path):

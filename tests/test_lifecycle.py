@@ -1,5 +1,5 @@
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 import numpy as np
 import pytest
@@ -86,6 +86,42 @@ def test_production_keeps_its_scale_when_other_data_is_prepared(spark, raw):
     assert job.scaler(second.version) != job.scaler(1)
 
 
+def test_monitoring_of_a_keyed_history(spark, raw):
+    space = TableSpace(spark, f"t{uuid.uuid4().hex}").create()
+    job = Lifecycle(space, "flowers", SMOKE_FEATURES, key=(("id", "BIGINT"),))
+    job.prepare(raw, ["id"])
+    job.train(max_iter=5)
+    job.promote(only_if_better=False, from_alias="baseline")
+    rows = normalize_names(raw)
+    moved = rows.withColumn("petal_length_cm", rows["petal_length_cm"] * 4)
+    for day, part in ((1, rows), (2, rows), (9, moved)):
+        job.score_batch(part, ts=datetime(2024, 1, day, 5), batch_id=f"b{day}")
+    job.score_batch(rows, ts=datetime(2024, 1, 9, 6), batch_id="b9")  # published already
+    assert job.recent().count() == 450 and job.recent(1).count() == 150 and job.recent(8).count() == 300
+    whole = {r["feature"]: r["has_drift"] for r in job.monitor(rows, days=30).collect()}
+    last = {r["feature"]: r["has_drift"] for r in job.monitor(rows, days=1).collect()}
+    assert last == {f: f == "petal_length_cm" for f in SMOKE_FEATURES} and not whole["sepal_width_cm"]
+    changes = job.monitor_predictions(days=1, before=30).collect()
+    assert any(r["has_drift"] for r in changes) and sum(r["change"] for r in changes if r["measure"] == "class share") == pytest.approx(0)
+
+    job.record_labels(rows.filter("id < 60").withColumnRenamed("target", "label"), "l1", date(2024, 1, 3))
+    job.record_labels(rows.withColumnRenamed("target", "label"), "l2", date(2024, 1, 10))
+    found = {r["data_carga"].day: r for r in job.performance(horizon=5).collect()}
+    assert {d: (r["n_predictions"], r["n_labelled"]) for d, r in found.items()} == {1: (150, 60), 2: (150, 60), 9: (150, 150)}
+    assert found[1]["accuracy"] > 0.8 > found[9]["accuracy"] and found[9]["coverage"] == 1
+    assert [r["data_carga"].day for r in job.performance(horizon=5, since=date(2024, 1, 2), until=date(2024, 1, 8)).collect()] == [2]
+
+    due = job.retrain_due("b9", rows, days=1).first()
+    assert due["features_moved"] and due["retrain"] and not job.retrain_due("b1", rows, days=None).first()["low_average"]
+    with pytest.raises(ValueError, match="key"):
+        Lifecycle(space, "flowers", SMOKE_FEATURES).performance()
+    job.train(max_iter=1)
+    before = job.compare().first()
+    job.discard_loser()
+    after = job.compare().first()["status"]
+    assert before["status"] == "evaluated" and (after == "evaluated") == before["should_promote"]
+
+
 @pytest.mark.parametrize("failing", ["model_scalers", "metrics_log", "model_coefficients", "model_signatures", "model_versions", "model_alias_log"])
 def test_training_that_stops_leaves_a_clean_registry(spark, raw, failing, monkeypatch):
     space = TableSpace(spark, f"t{uuid.uuid4().hex}").create()

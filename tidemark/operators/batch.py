@@ -25,10 +25,15 @@ def build_predictions(
     batch_id: str,
     ts: datetime,
     alias: str = "production",
+    key: Sequence[str] = (),
 ) -> DataFrame:
-    """Scored rows in the fixed column order of the history table; one ``ts`` stamps the batch."""
+    """Scored rows in the fixed column order of the history table; one ``ts`` stamps the batch.
+
+    ``key`` names columns that tell rows apart: they come first, and labels that arrive later are joined by them.
+    """
     stamp = F.lit(ts).cast("timestamp")
     return scored.select(
+        *key,
         F.lit(batch_id).alias("batch_id"),
         stamp.alias("prediction_timestamp"),
         F.to_date(stamp).alias("data_carga"),

@@ -4,12 +4,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import ratio
 from tidemark.operators.batch import batch_statistics
 from tidemark.operators.scaling import fit_scaler, scaler_values
 from tidemark.plans.catalogue.base import CLASS_IDS, FEATURES, MODEL, lineitem, query, rnd, scored_ctes, tidy
-from tidemark.plans.catalogue.history import show_distribution, stats_sql
+from tidemark.plans.catalogue.history import fresh_space, show_distribution, stats_sql
 from tidemark.sources import predictions as history
-from tidemark.sources.tables import TableSpace
+from tidemark.sources.tables import load_parquet
 from tidemark.sources.workspace import fresh_folder
 from tidemark.streaming.scores import (
     append_scored_batches,
@@ -18,6 +19,7 @@ from tidemark.streaming.scores import (
     stream_parquet,
     write_stream,
 )
+from tidemark.streaming.windows import accounted_windows, write_windows
 
 
 @query(
@@ -54,15 +56,36 @@ def stream_daily_window(spark, folder):
     f"""WITH {scored_ctes()}, one AS (SELECT *, '2024-03-06' AS data_carga FROM scored) SELECT * FROM {stats_sql("one", "data_carga")}""",
 )
 def stream_history(spark, folder):
-    """Micro-batches appended to the prediction history, summarised by load date."""
-    place = fresh_folder(spark, "stream-history")
-    name = f"tidemark_{place.rsplit('-', 1)[1]}"
-    spark.sql(f"CREATE SCHEMA {name} LOCATION '{place}/tables'")
-    space = TableSpace(spark, name)
-    history.create_predictions_table(space, FEATURES, CLASS_IDS)
+    """Micro-batches appended to the prediction ledger, summarised by load date."""
+    space = fresh_space(spark, "stream-history")
+    ledger = history.predictions_ledger(space, FEATURES, CLASS_IDS)
     params = scaler_values(fit_scaler(lineitem(spark, folder), FEATURES))
     stream = stream_parquet(spark, folder, "lineitem")
     clock = lambda: datetime(2024, 3, 6, 12, 0)
-    append_scored_batches(space, stream, MODEL, f"{place}/state", params, clock).awaitTermination()
-    stored = space.read(history.PREDICTIONS).withColumn("data_carga", F.col("data_carga").cast("string"))
+    append_scored_batches(ledger, stream, MODEL, fresh_folder(spark, "state"), params, clock).awaitTermination()
+    stored = ledger.read("2024-03-06", "2024-03-06").withColumn("data_carga", F.col("data_carga").cast("string"))
     return show_distribution(batch_statistics(stored, ["data_carga"]))
+
+
+@query(
+    "stream_windows_accounted",
+    f"""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n, count(CASE WHEN event_id % 7 <> 0 THEN value END) AS known,
+  {rnd("avg(CASE WHEN event_id % 7 <> 0 THEN value END)")} AS mean, true AS has_late FROM events
+GROUP BY 1, 2, CAST(ts AS DATE) HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
+)
+def stream_windows_accounted(spark, folder):
+    """Four files in turn, each with rows of all days: most rows come when their window has closed. Closed and late
+    sums of a window together hold all its rows; every seventh value is NaN and counts in no mean."""
+    place = fresh_folder(spark, "stream-windows")
+    lines = load_parquet(spark, folder, "events")
+    rows = lines.withColumn("value", F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
+    for turn in range(4):
+        rows.filter(F.col("event_id") % 4 == turn).write.mode("append").parquet(f"{place}/events.parquet")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/events.parquet")
+    windows = accounted_windows(stream, "ts", ["event_type"], "value")
+    write_windows(windows, f"{place}/rows", f"{place}/state").awaitTermination()
+    found = spark.read.schema(windows.schema).parquet(f"{place}/rows")
+    sums = found.groupBy(F.to_date("window_start").cast("string").alias("day"), "event_type").agg(
+        F.sum("n").alias("n"), F.sum("known").alias("known"), ratio(F.sum("total"), F.sum("known")).alias("mean"), F.bool_or("late").alias("has_late")
+    )
+    return tidy(sums)

@@ -7,20 +7,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import evaluate, registry
-from tidemark.operators.batch import batch_rows, batch_statistics, build_predictions, new_batch_id
-from tidemark.operators.drift import drift_details
+from tidemark.operators import evaluate, feedback, registry
+from tidemark.operators.batch import batch_statistics, build_predictions, new_batch_id, retrain_triggers
+from tidemark.operators.drift import class_share_drift, drift_details, mean_diff, prediction_drift
 from tidemark.operators.prep import check_schema, check_signature, dq_report, model_signature, normalize_names, require_rows
 from tidemark.operators.scaling import apply_scaler, fit_scaler, scaler_values
 from tidemark.operators.scoring import COEFFICIENTS, LinearModel, score, score_pair
 from tidemark.operators.split import part, stratified_split
 from tidemark.operators.training import train_logreg
 from tidemark.sources import predictions as history
+from tidemark.sources.ledger import Ledger
 from tidemark.sources.tables import TableSpace, load_inference
 from tidemark.sources.workspace import durable
 
@@ -43,6 +44,8 @@ class Lifecycle:
     label: str = "target"
     train_table: str = "train"
     test_table: str = "test"
+    #: Columns (name, type) of rows to score that tell them apart, for labels that come later.
+    key: tuple[tuple[str, str], ...] = ()
 
     # state tables -------------------------------------------------------------------------------
 
@@ -187,9 +190,14 @@ class Lifecycle:
     def score_batch(
         self, source: DataFrame | None = None, alias: str = "production", ts: datetime | None = None, batch_id: str | None = None
     ) -> str:
-        """Validates, scales, scores and appends one batch in a single lazy plan; returns its id."""
+        """Validates, scales, scores and appends one batch in a single lazy plan; returns its id.
+
+        The batch is published as a whole; repeated under the id of a published one it is left out.
+        """
         ts, batch_id = ts or datetime.now(), batch_id or new_batch_id()
-        rows = load_inference(self.space, self.features) if source is None else require_rows(check_schema(source, self.features))
+        keys = [name for name, _ in self.key]
+        wanted = [*self.features, *keys]
+        rows = load_inference(self.space, wanted) if source is None else require_rows(check_schema(source, wanted))
         model = registry.model_by_alias(self.coefficients(), self.alias_log(), self.model_name, alias)
         contract = self.space.read(SIGNATURES).filter(
             (F.col("model_name") == self.model_name) & (F.col("version") == model.version)
@@ -197,22 +205,88 @@ class Lifecycle:
         typed = rows.withColumns({f: F.col(f).cast("double") for f in self.features})
         check_signature(typed, contract.first()["signature"])
         scored = score(typed, model, self.scaler(model.version))
-        history.create_predictions_table(self.space, self.features, model.class_ids)
-        history.append_predictions(
-            self.space, build_predictions(scored, self.features, model.class_ids, batch_id, ts, alias)
-        )
-        history.write_pointer(self.space, batch_id, ts)
+        ledger = history.predictions_ledger(self.space, self.features, model.class_ids, self.key)
+        ledger.append(build_predictions(scored, self.features, model.class_ids, batch_id, ts, alias, keys), batch_id)
         return batch_id
 
     def summarize_batch(self, batch_id: str | None = None, ts: datetime | None = None) -> DataFrame:
         """Statistics of one batch (the last one by default), also appended to their history."""
-        batch_id = batch_id or history.read_pointer(self.space)
-        rows = require_rows(batch_rows(self.space.read(history.PREDICTIONS), batch_id), f"batch {batch_id}")
+        batch_id = batch_id or self.predictions().last_batch()[0]
+        rows = require_rows(self.predictions().read_batch(batch_id), f"batch {batch_id}")
         stats = durable(batch_statistics(rows))
         history.append_metadata(self.space, stats, ts or datetime.now())
         return stats
 
-    def monitor(self, baseline: DataFrame, production: DataFrame | None = None, **options) -> DataFrame:
-        """Drift per feature of recent rows (the prediction history by default) against a baseline."""
-        recent = self.space.read(history.PREDICTIONS) if production is None else production
-        return drift_details(baseline, recent, self.features, **options)
+    # monitoring ---------------------------------------------------------------------------------
+
+    def predictions(self) -> Ledger:
+        return history.open_ledger(self.space)
+
+    def recent(self, days: int | None = None) -> DataFrame:
+        """Published predictions of the last ``days`` load dates up to the newest one; of all without."""
+        ledger = self.predictions()
+        newest = None if days is None else ledger.days().agg(F.max("day")).first()[0]
+        return ledger.read(None if newest is None else newest - timedelta(days=days - 1))
+
+    def monitor(
+        self, baseline: DataFrame, production: DataFrame | None = None, days: int | None = None, **options
+    ) -> DataFrame:
+        """Drift per feature of recent rows (of the prediction history by default) against a baseline."""
+        return drift_details(baseline, self.recent(days) if production is None else production, self.features, **options)
+
+    def monitor_predictions(self, days: int, before: int, **options) -> DataFrame:
+        """Drift of the confidence and of class shares: the last ``days`` load dates against the ``before`` ahead of them.
+
+        Rows (measure, item, baseline, recent, change, has_drift): the test's distance for the confidence, shares for classes.
+        """
+        ledger = self.predictions()
+        newest = ledger.days().agg(F.max("day")).first()[0]
+        edge = newest - timedelta(days=days)
+        old, new = ledger.read(edge - timedelta(days=before - 1), edge), ledger.read(edge + timedelta(days=1), newest)
+        test = prediction_drift(old, new, **options).select(
+            F.lit("confidence").alias("measure"),
+            F.lit(None).cast("int").alias("item"),
+            F.lit(None).cast("double").alias("baseline"),
+            F.lit(None).cast("double").alias("recent"),
+            F.col("drift_score").alias("change"),
+            "has_drift",
+        )
+        shares = class_share_drift(old, new).select(
+            F.lit("class share").alias("measure"),
+            F.col("class").alias("item"),
+            F.col("baseline_share").alias("baseline"),
+            F.col("recent_share").alias("recent"),
+            F.col("share_diff").alias("change"),
+            F.lit(None).cast("boolean").alias("has_drift"),
+        )
+        return test.unionByName(shares)
+
+    def _feedback(self) -> tuple[Ledger, Ledger]:
+        if not self.key:
+            raise ValueError("labels that come later need a key; give the model's lifecycle one")
+        return feedback.labels_ledger(self.space, self.key), feedback.outcomes_ledger(self.space, self.key)
+
+    def record_labels(self, labels: DataFrame, batch_id: str, day: date) -> None:
+        """Appends true classes (key columns and ``label``) that arrived on ``day``, as one batch."""
+        ledger, _ = self._feedback()
+        keys = [name for name, _ in self.key]
+        ledger.append(labels.select(*keys, "label", F.lit(day).alias(feedback.LABEL_DAY)), batch_id)
+
+    def performance(self, horizon: int = 30, since: date | None = None, until: date | None = None) -> DataFrame:
+        """Joins what has arrived since the last call, then gives metrics per load date of the predictions."""
+        labels, outcomes = self._feedback()
+        keys = [name for name, _ in self.key]
+        feedback.match_labels(self.predictions(), labels, outcomes, keys, horizon)
+        return feedback.performance_by_day(self.predictions(), outcomes, keys, since, until)
+
+    def retrain_due(self, batch_id: str | None = None, baseline: DataFrame | None = None, days: int | None = None, **limits) -> DataFrame:
+        """Retrain signals of one batch (the last one by default), with the greatest mean shift if a baseline is given."""
+        stats = batch_statistics(self.predictions().read_batch(batch_id or self.predictions().last_batch()[0]))
+        shift = None
+        if baseline is not None:
+            shift = mean_diff(baseline, self.recent(days), self.features).agg(F.max(F.abs("diff_pct")).alias("max_abs_diff_pct"))
+        return retrain_triggers(stats, shift, **limits)
+
+    def discard_loser(self, ts: datetime | None = None) -> None:
+        """Takes the alias from a challenger that does not beat production."""
+        self._record(registry.discard_losers(self.alias_log(), self.compare(), F.lit(ts)))

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.ledger import Ledger
 from tidemark.sources.tables import TableSpace
 
 PREDICTIONS = "batch_predictions"
@@ -42,6 +43,24 @@ def create_predictions_table(
     )
 
 
+def predictions_ledger(
+    space: TableSpace,
+    features: Sequence[str],
+    class_ids: Sequence[int],
+    key: Sequence[tuple[str, str]] = (),
+    table: str = PREDICTIONS,
+) -> Ledger:
+    """The history as a ledger of whole batches, with the row key (name, type) that later labels are joined by."""
+    columns = [*key, *[(n, t) for n, t, _ in prediction_columns(features, class_ids)]]
+    return Ledger(space, table, tuple(columns), PARTITION).create()
+
+
+def open_ledger(space: TableSpace, table: str = PREDICTIONS) -> Ledger:
+    """The ledger of an existing history, with the columns it was made with."""
+    fields = [f for f in space.read(table).schema.fields if f.name != "attempt"]
+    return Ledger(space, table, tuple((f.name, f.dataType.simpleString()) for f in fields), PARTITION)
+
+
 def append_predictions(space: TableSpace, preds: DataFrame, table: str = PREDICTIONS) -> None:
     """Appends by column name, cast to the table's types. Columns must match exactly."""
     wanted = space.read(table).schema

@@ -5,16 +5,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.columns import timestamp
-from tidemark.operators.batch import batch_rows, build_predictions
+from tidemark.functions.columns import clean_double, timestamp
+from tidemark.operators.batch import build_predictions
 from tidemark.operators.scoring import LinearModel, score
-from tidemark.sources.predictions import PREDICTIONS, append_predictions
-from tidemark.sources.tables import TableSpace, load_parquet
+from tidemark.sources.ledger import Ledger
+from tidemark.sources.tables import load_parquet
 
 
 def stream_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -23,15 +24,12 @@ def stream_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
     The table may be one file or a folder of part files: a stream source wants a folder, so the glob
     lists the part files of the one and names the file of the other.
     """
-    schema = load_parquet(spark, folder, table).schema
+    rows = load_parquet(spark, folder, table)
     path = f"{folder.rstrip('/')}/{table}.parquet"
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = spark.readStream.schema(schema)
-    if files.getFileStatus(place).isDirectory():
-        return stream.parquet(path)
-    return stream.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+    stream = spark.readStream.schema(rows.schema)
+    if any(unquote(file).rstrip("/").endswith(f"/{table}.parquet") for file in rows.inputFiles()):
+        return stream.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+    return stream.parquet(path)
 
 
 def score_stream(stream: DataFrame, model: LinearModel, scaler: DataFrame | dict | None = None) -> DataFrame:
@@ -49,30 +47,25 @@ def write_stream(
 
 
 def append_scored_batches(
-    space: TableSpace,
+    ledger: Ledger,
     stream: DataFrame,
     model: LinearModel,
     checkpoint: str,
     scaler: DataFrame | dict | None = None,
     clock: Callable[[], datetime] = datetime.now,
     alias: str = "production",
+    key: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Scores each micro-batch and appends it to the prediction history under its own batch id.
+    """Scores each micro-batch and appends it to the prediction ledger under its own batch id.
 
-    The id follows from the checkpoint and the micro-batch number. Only the first micro-batch after
-    a (re)start can be a repeat, so only there the history is asked whether the id is already in it.
+    The id follows from the checkpoint and the micro-batch number. A micro-batch that is repeated after a restart finds
+    itself published in the manifest, or else is written again as a whole: what an interrupted write left is never read.
     """
-    seen: list[int] = []
 
     def write(rows: DataFrame, epoch: int) -> None:
         batch_id = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{checkpoint}#{epoch}"))
-        repeated = not seen and not batch_rows(space.read(PREDICTIONS), batch_id).isEmpty()
-        seen.append(epoch)
-        if not repeated:
-            scored = score(rows, model, scaler)
-            append_predictions(
-                space, build_predictions(scored, model.features, model.class_ids, batch_id, clock(), alias)
-            )
+        scored = score(rows, model, scaler)
+        ledger.append(build_predictions(scored, model.features, model.class_ids, batch_id, clock(), alias, key), batch_id)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
@@ -88,7 +81,7 @@ def daily_stream_profile(
 ) -> DataFrame:
     """Tumbling volume (and mean of ``value``) per window; a window is emitted once it is closed."""
     stamped = stream.withColumn("_ts", timestamp(ts)).withWatermark("_ts", watermark)
-    measures = [F.count("*").alias("n")] + ([] if value is None else [F.avg(value).alias(f"avg_{value}")])
+    measures = [F.count("*").alias("n")] + ([] if value is None else [F.avg(clean_double(value)).alias(f"avg_{value}")])
     windowed = stamped.groupBy(F.window("_ts", granularity).alias("_w"), *by).agg(*measures)
     bounds = [F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end")]
     return windowed.select(*bounds, *by, *[c for c in windowed.columns if c not in ("_w", *by)])

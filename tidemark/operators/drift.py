@@ -20,6 +20,7 @@ from tidemark.operators.ordering import (
 from tidemark.operators.profile import moments
 from tidemark.sources.workspace import Summary, literal_frame
 
+TEST_COLUMNS = ("feature", "n_base", "n_prod", "drift_score", "p_value", "has_drift")
 STABLE = "Production model is stable, no action needed"
 RETRAIN = "Investigate the drift, collect recent representative data and retrain"
 
@@ -34,6 +35,11 @@ def ks_distance(
 
     ``null_policy='propagate'`` gives a NULL distance to a feature with any NULL or NaN.
     """
+    return _distance_and_means(base, prod, features, null_policy).select("feature", "n_base", "n_prod", "drift_score")
+
+
+def _distance_and_means(base: DataFrame, prod: DataFrame, features: Sequence[str], null_policy: str = "drop") -> DataFrame:
+    """Rows ``(feature, n_base, n_prod, drift_score, baseline_mean, production_mean)``, all from one tally of both sides."""
     if null_policy not in ("drop", "propagate"):
         raise ValueError(f"unknown null_policy: {null_policy}")
     both = base.select(*features, F.lit(1).alias("_base")).unionByName(prod.select(*features, F.lit(0).alias("_base")))
@@ -45,6 +51,8 @@ def ks_distance(
         F.coalesce("n", zero).alias("n_base"),
         F.coalesce("m", zero).alias("n_prod"),
         F.col("d").alias("drift_score"),
+        ratio("sb", "n").alias("baseline_mean"),
+        ratio("sp", "m").alias("production_mean"),
     )
     if null_policy == "drop":
         return result
@@ -71,7 +79,12 @@ def _cell_distance(both: DataFrame, features: Sequence[str]) -> DataFrame:
     long = to_cells(both, cell_grid(both, features), ["_base"])
     tally = Summary(
         long.groupBy("feature", "cell").agg(
-            _in_base().alias("cb"), _in_prod().alias("cp"), F.min("value").alias("low"), F.max("value").alias("high")
+            _in_base().alias("cb"),
+            _in_prod().alias("cp"),
+            F.sum(F.col("value") * F.col("_base")).alias("sb"),
+            F.sum(F.col("value") * (1 - F.col("_base"))).alias("sp"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
         )
     )
     whole = Window.partitionBy("feature")
@@ -86,7 +99,7 @@ def _cell_distance(both: DataFrame, features: Sequence[str]) -> DataFrame:
     p0, p1 = ratio("p0", "m"), ratio(F.col("p0") + F.col("cp"), "m")
     cells = cells.withColumns({"edge": F.abs(b1 - p1), "reach": F.greatest(F.abs(b1 - p0), F.abs(b0 - p1))})
     cells = cells.withColumn("best", F.max("edge").over(whole))
-    edges = cells.groupBy("feature").agg(F.max("n").alias("n"), F.max("m").alias("m"), F.max("edge").alias("edge"))
+    edges = cells.groupBy("feature").agg(F.max("n").alias("n"), F.max("m").alias("m"), F.max("edge").alias("edge"), F.sum("sb").alias("sb"), F.sum("sp").alias("sp"))
     key = ["feature", "cell"]
     open_cells = cells.filter((F.col("low") < F.col("high")) & (F.col("reach") > F.col("best"))).select(
         F.col("feature").alias("_feature"), F.col("cell").alias("_cell"), "b0", "p0", "n", "m"
@@ -106,7 +119,7 @@ def _cell_distance(both: DataFrame, features: Sequence[str]) -> DataFrame:
         F.max("gap").alias("gap")
     )
     return edges.join(inner, match_keys(["feature"]), "left").select(
-        feature_name(features), "n", "m", F.greatest("edge", "gap").alias("d")
+        feature_name(features), "n", "m", F.greatest("edge", "gap").alias("d"), "sb", "sp"
     )
 
 
@@ -126,11 +139,16 @@ def ks_two_sample(
     ``p_value < threshold``, strictly; an empty side gives NULL and no drift. Runs the distance job
     right away, for its one row per feature.
     """
+    return _tested(ks_distance(base, prod, features, null_policy), threshold, method)
+
+
+def _tested(distances: DataFrame, threshold: float = 0.05, method: str = "asymp") -> DataFrame:
+    """Adds ``p_value`` and ``has_drift`` to rows with ``drift_score``, ``n_base`` and ``n_prod``."""
     sizes = F.col("drift_score"), F.col("n_base"), F.col("n_prod")
     small = F.greatest("n_base", "n_prod") <= EXACT_MAX_ROWS
     if method not in ("auto", "exact", "asymp", "limit"):
         raise ValueError(f"unknown method: {method}")
-    rows = Summary(ks_distance(base, prod, features, null_policy)).rows
+    rows = Summary(distances).rows
     if method == "exact" and (large := [r["feature"] for r in rows.filter(~small).collect()]):
         raise ValueError(f"no exact p-value beyond {EXACT_MAX_ROWS} values a side: {large}")
     if method in ("asymp", "limit") or (method == "auto" and rows.filter(small).isEmpty()):
@@ -160,10 +178,11 @@ def any_drift(results: DataFrame) -> DataFrame:
 
 
 def drift_details(base: DataFrame, prod: DataFrame, features: Sequence[str], **options) -> DataFrame:
-    """The drift test joined with the mean comparison, one row per feature."""
-    test = ks_two_sample(base, prod, features, **options)
-    means = mean_diff(base, prod, features).withColumnRenamed("feature", "_feature")
-    return test.join(means, F.col("feature") == F.col("_feature"), "left").drop("_feature")
+    """The drift test and the mean comparison, one row per feature, from one tally of both sides."""
+    found = _distance_and_means(base, prod, features, options.pop("null_policy", "drop"))
+    moved = ratio(F.col("production_mean") - F.col("baseline_mean"), "baseline_mean") * 100
+    tested = _tested(found, **options).withColumn("diff_pct", moved)
+    return tested.select(*TEST_COLUMNS, "baseline_mean", "production_mean", "diff_pct")
 
 
 def summarize_drift(details: DataFrame) -> DataFrame:

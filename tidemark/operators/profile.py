@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import clean_double, column, timestamp
-from tidemark.operators.ordering import exact_quantiles, match_keys
+from tidemark.operators.ordering import match_keys, quantiles_and_moments
 from tidemark.operators.prep import numeric_columns
 from tidemark.sources.workspace import Summary
 
@@ -63,11 +63,11 @@ def _with_quantiles(
     if accuracy is not None:
         return _aggregate(df, features, by, quantiles, accuracy)
     keys = [*by, "feature"]
-    long = exact_quantiles(df, features, sorted(set(quantiles.values())), by)
+    long, sums = quantiles_and_moments(df, features, sorted(set(quantiles.values())), by)
     marks = long.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         *[F.max(F.when(F.col("probability") == p, F.col("value"))).alias(n) for n, p in quantiles.items()]
     )
-    return moments(df, features, by).join(marks, match_keys(keys), "left").drop(*[f"_{k}" for k in keys])
+    return sums.join(marks, match_keys(keys), "left").drop(*[f"_{k}" for k in keys])
 
 
 def distribution_stats(

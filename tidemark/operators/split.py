@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import running_before
-from tidemark.sources.workspace import Summary
+from tidemark.sources.workspace import Summary, durable
 
 DIGITS = 3  # hex digits per refinement level: 4096 buckets
 
@@ -54,9 +54,9 @@ def stratified_split(
 
     Rows of a class are ranked by ``md5(seed|key)``; the first part takes the lowest ranks, the next
     part the following ones, ``rest`` what remains. All that is needed is the last hash of each class
-    and part; a map-only pass then compares every row with these cut-offs. A histogram over the
-    leading hash digits finds the bucket each quota falls into, a second one refines that bucket,
-    and only its remainder is sorted.
+    and part; a map-only pass then compares every row with these cut-offs. One histogram over class and
+    leading hash digits gives the class counts and the bucket each quota falls into; the rows of those
+    buckets alone (one of 4,096 for each cut) are written as hashes, refined once more and sorted.
 
     ``key`` must identify a row; rows sharing a key always land on the same side.
     """
@@ -70,7 +70,9 @@ def stratified_split(
         _draw(key, seed).alias("h"),
         _text(key).alias("k"),
     )
-    counts = Summary(hashed.groupBy("class").agg(F.count("*").alias("n")))
+    first = F.substring("h", 1, DIGITS)
+    histogram = Summary(hashed.groupBy("class", first.alias("b1")).agg(F.count("*").alias("n")))
+    counts = Summary(histogram.rows.groupBy("class").agg(F.sum("n").alias("n")))
     _require_splittable(counts.rows, fractions, stratified=label is not None)
     bounds = Summary(
         class_quotas(counts.rows, fractions).select(
@@ -81,7 +83,7 @@ def stratified_split(
         )
     )
     cuts = Summary(
-        _refined_cuts(hashed, bounds)
+        _refined_cuts(hashed, histogram.rows, bounds)
         .groupBy("class")
         .agg(F.map_from_entries(F.collect_list(F.struct("part", "at"))).alias("cuts"))
     )
@@ -97,19 +99,20 @@ def stratified_split(
     )
 
 
-def _refined_cuts(hashed: DataFrame, bounds: Summary) -> DataFrame:
+def _refined_cuts(hashed: DataFrame, histogram: DataFrame, bounds: Summary) -> DataFrame:
     """Last place of every class and part by refinement: only rows that share two hash prefixes with a cut are sorted."""
     first, second = F.substring("h", 1, DIGITS), F.substring("h", DIGITS + 1, DIGITS)
-    level1 = hashed.groupBy("class", first.alias("b1")).agg(F.count("*").alias("n"))
-    level1 = level1.withColumn("start", running_before("n", ["class"], "b1"))
+    level1 = histogram.withColumn("start", running_before("n", ["class"], "b1"))
     cut1 = Summary(_containing(level1, bounds, ["class"], "b1"))
-    inside = _restrict(hashed, cut1, ["class", "b1"], [F.col("class"), first])
+    # the source is not read again for what follows
+    hashed = durable(_restrict(hashed, cut1, ["class", "b1"], [F.col("class"), first]))
+    inside = hashed
     level2 = inside.groupBy("class", "b1", second.alias("b2")).agg(
         F.count("*").alias("n"), F.any_value("start").alias("base")
     )
     level2 = level2.withColumn("start", F.col("base") + running_before("n", ["class", "b1"], "b2"))
     cut2 = Summary(_containing(level2, bounds, ["class", "b1"], "b2"))
-    inside = _restrict(hashed, cut2, ["class", "b1", "b2"], [F.col("class"), first, second])
+    inside = _restrict(hashed.drop("b1", "start"), cut2, ["class", "b1", "b2"], [F.col("class"), first, second])
     placed = inside.groupBy("class", "b1", "b2", F.struct("h", "k").alias("at")).agg(
         F.count("*").alias("n"), F.any_value("start").alias("base")
     )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import profile
+from tidemark.operators import profile, sketches
 from tidemark.plans.catalogue.base import (
     CUT,
     FEATURES,
@@ -16,6 +16,7 @@ from tidemark.plans.catalogue.base import (
     tidy,
 )
 from tidemark.sources.tables import load_parquet
+from tidemark.sources.workspace import durable, fresh_folder
 
 # four digits: prices sum to values whose last digits depend on the order of addition
 NUMBERS = f"""{rnd("avg(v)", 4)} AS mean, {rnd("stddev_samp(v)", 4)} AS std, {rnd("min(v)", 4)} AS min, {rnd("max(v)", 4)} AS max"""
@@ -168,3 +169,27 @@ def profile_two_sides(spark, folder):
 def preview_rows(spark, folder):
     events = load_parquet(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
     return profile.preview(events, [F.desc("value"), "event_id"])
+
+
+WEEKS = "CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR)"
+
+
+@query(
+    "weekly_profile_from_sketches",
+    f"""SELECT {WEEKS} AS week, event_type, count(*) AS count, {rnd("sum(value)", 4)} AS total, {rnd("stddev_samp(value)", 4)} AS std,
+  min(value) AS min, max(value) AS max, 3 AS quantiles, true AS within_bound FROM events GROUP BY 1, 2""",
+)
+def weekly_profile_from_sketches(spark, folder):
+    """Daily sketches by event type, stored, rolled up to weeks; ranks of the estimates counted over all rows."""
+    events = load_parquet(spark, folder, "events")
+    place = fresh_folder(spark, "sketches")
+    sketches.sketch_table(events, F.to_date("ts"), ["value"], ["event_type"]).write.parquet(place)
+    weekly = {"week": F.to_date(F.date_trunc("week", "day")).cast("string"), "event_type": F.col("event_type")}
+    profile_rows = sketches.read_profile(sketches.roll_up(spark.read.parquet(place), weekly), list(weekly))
+    profile_rows = durable(profile_rows)
+    by = {"week": F.to_date(F.date_trunc("week", F.to_date("ts"))).cast("string"), "event_type": F.col("event_type")}
+    errors = sketches.rank_errors(events, profile_rows, "value", by)
+    # the published bound is one quantile's at 99 %; twice that is left by fewer than one of a million
+    judged = errors.groupBy(*by).agg(F.count("*").cast("int").alias("quantiles"), F.bool_and(F.col("rank_error") <= 2 * sketches.rank_bound()).alias("within_bound"))
+    shown = tidy(profile_rows.select(*by, "count", (F.col("mean") * F.col("count")).alias("total"), "std", "min", "max"), 4)
+    return shown.join(judged, list(by))

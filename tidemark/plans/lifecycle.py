@@ -96,10 +96,12 @@ class Lifecycle:
         rows = check_schema(normalize_names(raw), [*self.features, self.label, *key])
         if rules:
             dq_report(rows, rules, strict=True)
-        parts = stratified_split(rows, self.label, key, {"test": test_size}, seed)
+        columns = [*self.features, self.label]
+        split = stratified_split(rows, self.label, key, {"test": test_size}, seed).select(*columns, "split")
+        # written once, by part: what follows reads its part alone
+        parts = self.space.overwrite(split, f"{self.train_table}_parts", ["split"])
         params = self.space.overwrite(fit_scaler(part(parts, "train"), self.features), SCALER)
         scales = scaler_values(params)
-        columns = [*self.features, self.label]
         self.space.overwrite(part(parts, "test").select(*columns), f"{self.test_table}_raw")
         for name, table in (("train", self.train_table), ("test", self.test_table)):
             self.space.overwrite(apply_scaler(part(parts, name), scales, self.features).select(*columns), table)

@@ -4,7 +4,6 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ratio
 from tidemark.operators.batch import batch_statistics
 from tidemark.operators.scaling import fit_scaler, scaler_values
 from tidemark.plans.catalogue.base import CLASS_IDS, FEATURES, MODEL, lineitem, query, rnd, scored_ctes, tidy
@@ -70,7 +69,7 @@ def stream_history(spark, folder):
 @query(
     "stream_windows_accounted",
     f"""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n, count(CASE WHEN event_id % 7 <> 0 THEN value END) AS known,
-  {rnd("avg(CASE WHEN event_id % 7 <> 0 THEN value END)")} AS mean, true AS has_late FROM events
+  {rnd("coalesce(sum(CASE WHEN event_id % 7 <> 0 THEN value END), 0)", 4)} AS total, true AS has_late FROM events
 GROUP BY 1, 2, CAST(ts AS DATE) HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
 )
 def stream_windows_accounted(spark, folder):
@@ -86,6 +85,6 @@ def stream_windows_accounted(spark, folder):
     write_windows(windows, f"{place}/rows", f"{place}/state").awaitTermination()
     found = spark.read.schema(windows.schema).parquet(f"{place}/rows")
     sums = found.groupBy(F.to_date("window_start").cast("string").alias("day"), "event_type").agg(
-        F.sum("n").alias("n"), F.sum("known").alias("known"), ratio(F.sum("total"), F.sum("known")).alias("mean"), F.bool_or("late").alias("has_late")
+        F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("total").alias("total"), F.bool_or("late").alias("has_late")
     )
-    return tidy(sums)
+    return tidy(sums, 4)

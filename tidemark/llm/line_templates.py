@@ -22,40 +22,57 @@ KEPT_SHARE = 0.6
 WILD = "<*>"
 
 
+#: Leaves that recur, at most, that are sent to every task (16 MB); more are joined by a shuffle.
+SENT_LEAVES = 1 << 20
+
+
 def _masked(tokens):
-    return F.when(tokens.rlike("[0-9]"), F.regexp_replace(tokens, r"[^ ]*[0-9][^ ]*", WILD)).otherwise(tokens)
+    # a token is looked at from its start only
+    return F.when(tokens.rlike("[0-9]"), F.regexp_replace(tokens, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", WILD)).otherwise(tokens)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, line_no, leaf, line): whitespace-trimmed, with variable tokens masked; blank lines left out."""
+    """(doc_id, row, line_no, leaf, line): whitespace-trimmed, with variable tokens masked; blank lines left out.
+
+    ``leaf`` is a 64-bit hash of the token count and the leading tokens.
+    """
     text = F.col("text").cast("string")
     lines = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("row"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
+    # of the raw line, so that the replacements are not evaluated for the filter as well
+    lines = lines.where(F.btrim("raw", F.lit(" \t\r")) != "")
     # only irregular white space and lines with digits go through the expensive replacements
-    squeezed = F.trim(F.regexp_replace("raw", r"[\t\r]|[ \t\r]{2,}", " "))
-    squeezed = F.trim(F.regexp_replace(squeezed, " {2,}", " "))
-    lines = lines.select("doc_id", "row", "line_no", squeezed.alias("squeezed")).where("squeezed <> ''")
-    count = F.length("squeezed") - F.length(F.replace("squeezed", F.lit(" "), F.lit(""))) + 1
-    leaf = F.concat_ws(" ", count, _masked(F.substring_index("squeezed", " ", DEPTH)))
-    return lines.select("doc_id", "row", "line_no", _masked(F.col("squeezed")).alias("line"), leaf.alias("leaf"))
+    odd = F.contains("raw", F.lit("  ")) | F.contains("raw", F.lit("\t")) | F.contains("raw", F.lit("\r"))
+    squeezed = F.trim(F.when(odd, F.regexp_replace("raw", r"[ \t\r]+", " ")).otherwise(F.col("raw")))
+    lines = lines.select("doc_id", "row", "line_no", squeezed.alias("squeezed")).select("doc_id", "row", "line_no", _masked(F.col("squeezed")).alias("line"))
+    count = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
+    return lines.select("doc_id", "row", "line_no", "line", F.xxhash64(count, F.substring_index("line", " ", DEPTH)).alias("leaf"))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, kept_share: float = KEPT_SHARE) -> DataFrame:
-    """(doc_id, row, line_no, template) of the lines whose template recurs in at least ``min_docs`` documents."""
+    """(doc_id, row, line_no, template) of the lines whose template recurs in at least ``min_docs`` documents.
+
+    ``template`` is a hash. Lines are compared by 64-bit hashes within their leaf; rows carry hashes, and every distinct
+    line of a leaf that recurs its text once.
+    """
     lines = _lines(docs)
     busy = stored(lines.groupBy("leaf").agg(F.count("*").alias("n")).where(f"n >= {min_docs}").select("leaf"), "leaves")
-    inside = stored(lines.join(busy, "leaf"), "leaf-lines")
-    # documents by distinct line: all that the tree needs to know of the rows
-    distinct = stored(inside.select("leaf", "line", "doc_id", "row").distinct().groupBy("leaf", "line").agg(F.count("*").alias("docs")), "leaf-texts")
-    tokens = distinct.select("leaf", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    few = busy.count() <= SENT_LEAVES
+    inside = lines.join(F.broadcast(busy) if few else busy, "leaf").withColumn("key", F.xxhash64("line"))
+    inside = stored(inside.select("doc_id", "row", "line_no", "leaf", "key", "line"), "leaf-lines")
+    # documents by distinct line, and its text: all that the tree needs to know of the rows
+    holders = inside.select("leaf", "key", "doc_id", "row").distinct().groupBy("leaf", "key").agg(F.count("*").alias("docs"))
+    texts = inside.groupBy("leaf", "key").agg(F.min("line").alias("line"))
+    distinct = stored(holders.join(texts, ["leaf", "key"]), "leaf-texts")
+    tokens = distinct.select("leaf", "key", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
     frequent = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).where(f"n >= {min_docs}").select("leaf", "at", "token", F.lit(True).alias("frequent"))
     judged = tokens.join(frequent, ["leaf", "at", "token"], "left").withColumn("frequent", F.coalesce("frequent", F.lit(False)))
     word = F.when(F.col("frequent"), F.col("token")).otherwise(F.lit(WILD))
     ordered = F.sort_array(F.collect_list(F.struct("at", word.alias("word"))))
     kept = F.avg(F.when(F.col("frequent") & (F.col("token") != WILD), 1.0).otherwise(0.0))
-    templates = judged.groupBy("leaf", "line").agg(F.concat_ws(" ", ordered["word"]).alias("general"), kept.alias("kept"), F.max("docs").alias("docs"))
-    templates = templates.select("leaf", "line", "docs", F.when(F.col("kept") >= kept_share, F.col("general")).otherwise(F.col("line")).alias("template"))
-    templates = stored(templates, "templates")
-    placed = stored(inside.join(templates, ["leaf", "line"]).select("doc_id", "row", "line_no", "leaf", "template"), "placed")
+    templates = judged.groupBy("leaf", "key").agg(F.xxhash64(F.concat_ws(" ", ordered["word"])).alias("general"), kept.alias("kept"))
+    # a line is its own template under its own hash: that of a general form equal to it
+    templates = templates.select("leaf", "key", F.when(F.col("kept") >= kept_share, F.col("general")).otherwise(F.col("key")).alias("template"))
+    placed = stored(inside.join(stored(templates, "templates"), ["leaf", "key"]).select("doc_id", "row", "line_no", "leaf", "template"), "placed")
     # a document with two lines of a template counts once
     recurring = placed.select("leaf", "template", "doc_id", "row").distinct().groupBy("leaf", "template").agg(F.count("*").alias("docs")).where(f"docs >= {min_docs}")
     recurring = stored(recurring.select("leaf", "template"), "recurring")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces, stored
+from tidemark.llm.common import parallelism, pieces, stored
 
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
 DISTANCE, FIRST, SECOND = 2, 1, 7
@@ -114,6 +114,8 @@ def near_words(words: DataFrame) -> DataFrame:
     """(a, a_n, b, b_n), a < b: all pairs of the distinct ``words`` (word, n) that differ by exactly one inserted,
     deleted or replaced code point."""
     elements, hashes, signatures = _signatures()
+    # a word's signatures are much more than the word: the work is dealt out by words, not by bytes
+    words = words.repartition(parallelism(words.sparkSession), "word")
     signed = words.withColumn("__e", elements).withColumn("__h", hashes).select(F.explode(signatures).alias("sig"), "word", "n")
     signed = stored(signed, "signatures")
     crowded = signed.groupBy("sig").agg(F.count("*").alias("members")).where(F.col("members") > CROWD).select("sig")

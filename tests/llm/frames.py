@@ -6,7 +6,7 @@ import random
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use for themselves.
-CLASHES = "score double, kept boolean, row long, h long, part int, shard int, slot long, size long, rank long, words string, rejected boolean, key string"
+CLASHES = "score double, kept boolean, row long, h long, part int, shard int, slot long, size long, rank long, words string, rejected boolean, key string, `a.b` string, `odd ``name` int"
 N_CLASHES = len(CLASHES.split(","))
 
 

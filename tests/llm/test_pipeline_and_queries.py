@@ -10,7 +10,7 @@ from tests.llm.frames import documents, prose
 from tests.llm.test_decontamination import brute as contaminated
 from tests.llm.test_exact_dedup import brute as copies
 from tests.llm.test_multiset_prints import brute as edited
-from tests.llm.test_simhash import brute as near
+from tests.llm.test_near_copies import smallest
 from tests.llm.test_spelling import brute_variants, brute_words, held
 from tests.oracle import compare, connect
 from tidemark.llm.queries import ORACLES, QUERIES
@@ -57,16 +57,20 @@ def test_pipeline_by_brute_force(spark, tmp_path):
     texts += [(50 + i, prose(1000 + i, 80).replace(" ", " \n ")) for i in range(5)]
     texts += [(60, f"{prose(1100, 30)} {item}"), (61, prose(1200, 900)), (62, "1 2 3 !!"), (63, None), (64, "")]
     texts += [(70 + i, f"{prose(1200, 900)} tail{'ab'[i]}") for i in range(2)]
+    changed = prose(1300, 200).split()
+    texts.append((80, " ".join(changed)))
+    changed[40] = changed[120] = "altered"
+    texts.append((81, " ".join(changed)))
     documents(spark, texts).drop("lang").selectExpr("*", "'xx' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     left = [(i, t) for i, t in texts if t and any(c.isalpha() for c in t)]
     stay = {i for i, _, _, kept, _ in copies(left) if kept}
     left = [(i, t) for i, t in left if i in stay]
-    stay = {i for i, _, c in near(left) if i == c}
+    stay = {i for i, root in smallest(left).items() if i == root}
     left = [(i, t) for i, t in left if i in stay]
     stay = {i for i, *_, bad in contaminated(left, [(1, item)]) if not bad}
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert {r["doc_id"] for r in rows} == stay and 60 not in stay and len(stay) >= 41
+    assert {r["doc_id"] for r in rows} == stay and not stay & {60, 70, 71, 81} and {61, 80} <= stay and len(stay) >= 41
     tokens = {}
     for r in rows:
         tokens[r["doc_id"]] = tokens.get(r["doc_id"], 0) + r["length"]

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import KeyFilter, parallelism, stored, text_or_empty
+from tidemark.llm.common import KeyFilter, all_columns, parallelism, split_by_keys, stored, text_or_empty
 from tidemark.llm.golomb import by_owner, encode, shared_bitmaps
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -108,7 +108,10 @@ def without_copies(docs: DataFrame) -> DataFrame:
     result = stored(exact_groups(docs).select("doc_id", "kept", "text_sha256"), "kept")
     dropped = result.where("not kept and doc_id is not null").select("doc_id", F.col("text_sha256").alias("__sha")).distinct()
     again = result.where("kept and doc_id is not null").groupBy("doc_id", F.col("text_sha256").alias("__sha")).agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "__sha")
-    keyed = docs.withColumn("__sha", F.sha2(normalised(), 256))
-    once = keyed.join(dropped.unionByName(again), ["doc_id", "__sha"], "left_anti")
+    few = stored(dropped.unionByName(again).distinct(), "copies")
+    # documents whose id has no row to leave out stay as they are; only the texts of the others are shuffled
+    some, clean = split_by_keys(docs, F.col("doc_id").cast("long"), few.select("doc_id").distinct())
+    keyed = some.withColumn("__sha", F.sha2(normalised(), 256))
+    once = keyed.join(few, ["doc_id", "__sha"], "left_anti")
     repeated = keyed.join(again, ["doc_id", "__sha"], "left_semi").dropDuplicates(["doc_id", "__sha"])
-    return once.unionByName(repeated).select(*docs.columns)
+    return clean.unionByName(once.unionByName(repeated).select(*all_columns(docs)))

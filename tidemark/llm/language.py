@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix64, pieces, raw_bytes, stored
+from tidemark.llm.common import mix64, pieces, quoted, raw_bytes, stored
 from tidemark.operators.ordering import exact_quantiles
 
 ORDER = 4
@@ -292,6 +292,9 @@ def identify(docs: DataFrame, learn: Column | None = None, keep: bool = False, p
             rest = [c for c in batch.schema.names if keep or c != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *map(pa.array, found)], [*rest, *added])
 
-    rows = docs.select(*(F.col(f"`{n}`").cast("string").alias(n) if n == "text" else F.col(f"`{n}`") for n in names))
+    # the names of other columns may be any: only plain ones go to Python
+    plain = {n: n if n in ("doc_id", "text") else f"_{i}" for i, n in enumerate(names)}
+    rows = docs.select(*(F.col(quoted(n)).cast("string").alias(n) if n == "text" else F.col(quoted(n)).alias(plain[n]) for n in names))
     kinds = [(f.name, f.dataType.simpleString()) for f in rows.schema.fields if keep or f.name != "text"]
-    return rows.mapInArrow(judge, ", ".join(f"`{n}` {k}" for n, k in [*kinds, *added.items()]))
+    found = rows.mapInArrow(judge, ", ".join(f"{n} {k}" for n, k in [*kinds, *added.items()]))
+    return found.toDF(*(n for n in names if keep or n != "text"), *added)

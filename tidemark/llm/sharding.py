@@ -14,7 +14,7 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import all_columns, stored
 from tidemark.sources.workspace import literal_frame
 
 #: Rows that one task permutes in the second pass, about.
@@ -76,7 +76,7 @@ def shuffle_into_shards(rows: DataFrame, shards: int = 16, seed: int = 7, block_
     """
     spark = rows.sparkSession
     rows = rows.drop("shard", "slot")
-    columns = rows.columns
+    columns = all_columns(rows)
     key = lambda salt: F.xxhash64(F.lit(seed), F.lit(salt), *columns)
     # permute locally: no exchange; the position inside the partition is the local rank
     local = rows.withColumn("__first", key("first")).sortWithinPartitions("__first", key("ties"))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces, raw_bytes, stored, unsigned_hex
+from tidemark.llm.common import all_columns, pieces, raw_bytes, stored, unsigned_hex
 from tidemark.llm.words import VISIBLE, Words
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -157,4 +157,4 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     doc_id identifies a document; rows without one stay.
     """
     dropped = stored(near_groups(docs).where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dropped, "doc_id", "left_anti").select(*all_columns(docs))

@@ -138,3 +138,16 @@ def test_forest(spark):
     assert rows.columns == [*df.columns, "predicted_class", "prediction_probability"]
     right = rows.filter("target = predicted_class").count()
     assert right > 100 and rows.filter("prediction_probability between 0 and 1").count() == 120
+
+
+def test_odd_inputs_have_no_score_either_way(spark):
+    inf, nan = float("inf"), float("nan")
+    wide = LinearModel("w", 1, ("v",), (0, 1, 2), (0.1, 0.0, -0.1), tuple(tuple(float(i + j) for j in range(4)) for i in range(3)))
+    values = [[1.0, 2.0, 3.0, 4.0], [1.0, 2.0, 3.0], [1.0] * 5, [1.0, inf, 0.0, 0.0], [1.0, -inf, 0.0, 0.0], [1.0, nan, 0.0, 0.0], [1.0, None, 0.0, 0.0], [], None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v array<double>")
+    for unroll in (0, 1000):
+        found = {r["id"]: r for r in scoring.with_probabilities(rows, wide, unroll=unroll).collect()}
+        assert [i for i, r in found.items() if r["predicted_class"] is not None] == [0]
+        assert all(r["probability_class_1"] is None for i, r in found.items() if i)
+    with pytest.raises(ValueError, match="scaler"):
+        scoring.with_probabilities(rows, wide, {"v": (0.0, 1.0)})

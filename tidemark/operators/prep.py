@@ -7,12 +7,17 @@ import re
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import class_name, ratio
+from tidemark.sources.workspace import Summary, durable
 
+# what a name loses or changes: blanks join words, brackets go
+_NAME = str.maketrans(" ", "_", "()")
+
+# fixed values: the measurements that belong together
 DEFAULT_PAIRS = {
     "sepal": ("sepal_length_cm", "sepal_width_cm"),
     "petal": ("petal_length_cm", "petal_width_cm"),
@@ -21,7 +26,7 @@ DEFAULT_PAIRS = {
 
 def normalize_names(df: DataFrame) -> DataFrame:
     """Column names with spaces as underscores and without parentheses."""
-    names = [c.replace(" ", "_").replace("(", "").replace(")", "") for c in df.columns]
+    names = [name.translate(_NAME) for name in df.columns]
     if len(set(names)) != len(names):
         raise ValueError(f"column names collide after normalisation: {names}")
     return df.toDF(*names)
@@ -69,10 +74,28 @@ def map_labels(
     return df.withColumn(target, class_name(column, dict(names), fallback))
 
 
+def class_dictionary(df: DataFrame, column: str, target: str = "class_id") -> DataFrame:
+    """Rows (column, ``target``) with ids 0,1,2,... in the sorted order of the distinct labels.
+
+    Labels are sorted by ranges, numbered inside each and moved on by the sizes of the ranges before it: however many
+    there are, no task or row holds them all.
+    """
+    found = df.filter(F.col(column).isNotNull()).select(column).distinct()
+    ranged = durable(found.repartitionByRange(column).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
+    # one row per range
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_range", before.alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
+    numbered = ranged.withColumn("_place", place).join(starts, "_range")
+    return numbered.select(column, (F.col("_start") + F.col("_place")).cast("int").alias(target))
+
+
 def dense_class_ids(df: DataFrame, column: str, target: str = "class_id") -> DataFrame:
     """Adds ids 0,1,2,... following the sorted order of the distinct labels; NULL labels keep NULL."""
-    classes = df.filter(F.col(column).isNotNull()).agg(F.sort_array(F.collect_set(column)).alias("c")).scalar()
-    return df.withColumn(target, (F.array_position(classes, F.col(column)) - 1).cast("int"))
+    dictionary = Summary(class_dictionary(df, column, "_id").withColumnRenamed(column, "_label")).joinable()
+    joined = df.drop(target).join(dictionary, F.col(column) == F.col("_label"), "left")
+    return joined.withColumn(target, F.col("_id")).drop("_id", "_label")
 
 
 def ratio_area(df: DataFrame, pairs: Mapping[str, tuple[str, str]] = DEFAULT_PAIRS) -> DataFrame:

@@ -66,10 +66,17 @@ class LinearModel:
         return spark.createDataFrame(rows, COEFFICIENTS)
 
 
+def _finite(value: Column) -> Column:
+    """NULL for a value that is missing or infinite: neither can be scored."""
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def _inputs(model: LinearModel) -> list[Column]:
     if model.reads_array:
-        return [clean_double(F.get(model.features[0], F.lit(i))) for i in range(len(model.weights[0]))]
-    return [clean_double(f) for f in model.features]
+        width = len(model.weights[0])
+        fits = F.size(model.features[0]) == width
+        return [_finite(F.when(fits, clean_double(F.get(model.features[0], F.lit(i))))) for i in range(width)]
+    return [_finite(clean_double(f)) for f in model.features]
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -81,7 +88,7 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 def probability_udf(model: LinearModel) -> Callable[..., Column]:
     """Arrow-batched scoring function over ``struct(*features)`` (or the array column).
 
-    Returns the probabilities in class order; NULL when an input is missing.
+    Returns the probabilities in class order; NULL when an input is missing or infinite, or an array has another length.
     """
     weights, intercepts = np.array(model.weights).T, np.array(model.intercepts)
     width = weights.shape[0]
@@ -90,14 +97,14 @@ def probability_udf(model: LinearModel) -> Callable[..., Column]:
         if isinstance(batch, pd.DataFrame):
             return batch.to_numpy(dtype="float64", na_value=np.nan)
         blank = np.full(width, np.nan)
-        return np.array([blank if v is None else np.asarray(v, dtype="float64") for v in batch]).reshape(-1, width)
+        return np.array([blank if v is None or len(v) != width else np.asarray(v, dtype="float64") for v in batch]).reshape(-1, width)
 
     def probabilities(batches: Iterator) -> Iterator[pd.Series]:
         for batch in batches:
             x = matrix(batch)
             with np.errstate(all="ignore"):
                 scored = _softmax(x @ weights + intercepts)
-            ok = ~np.isnan(scored).any(axis=1)
+            ok = np.isfinite(x).all(axis=1) & ~np.isnan(scored).any(axis=1)
             yield pd.Series([row if good else None for row, good in zip(scored, ok)], dtype="object")
 
     if model.reads_array:
@@ -119,21 +126,25 @@ def with_probabilities(
     scaler: DataFrame | dict | None = None,
     prefix: str = "probability_class_",
     prediction: str = "predicted_class",
+    unroll: int = UNROLL_LIMIT,
 ) -> DataFrame:
     """Adds one probability column per class and the predicted class.
 
     Small models become plain arithmetic that fuses with the scan; wide ones use one matrix product
-    per Arrow batch. The row maximum is subtracted before ``exp``. Rows with a missing feature get
-    NULLs. Input columns are left as they are: ``scaler`` applies to the model's view only.
+    per Arrow batch (more than ``unroll`` products). The row maximum is subtracted before ``exp``. Rows with a missing or
+    infinite feature, or an array of another length than the model's, get NULLs either way. A scaler names features, so
+    one for the elements of an array is an error. Input columns are left as they are: ``scaler`` applies to the model's view only.
     """
     check_schema(df, model.features)
     size = len(model.class_ids) * len(model.weights[0])
     outputs = [f"{prefix}{c}" for c in model.class_ids]
     scales = {} if scaler is None else scaler if isinstance(scaler, dict) else scaler_values(scaler)
-    inputs = _inputs(model) if not model.reads_array or size <= UNROLL_LIMIT else []
-    if scales and not model.reads_array:
+    if scales and model.reads_array:
+        raise ValueError(f"a scaler cannot be applied to the elements of {model.features[0]}")
+    inputs = _inputs(model) if not model.reads_array or size <= unroll else []
+    if scales:
         inputs = [(x - F.lit(scales[f][0])) / F.lit(scales[f][1]) for f, x in zip(model.features, inputs)]
-    if size > UNROLL_LIMIT:
+    if size > unroll:
         udf = probability_udf(model)
         source = F.col(model.features[0]) if model.reads_array else F.struct(*[x.alias(f) for f, x in zip(model.features, inputs)])
         scored = df.withColumn("_p", udf(source))

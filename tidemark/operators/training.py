@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.prep import check_schema
 from tidemark.operators.scoring import LinearModel
+from tidemark.sources.workspace import fresh_folder
+
+
+#: Classes of a model at most: each has a row of weights on the driver.
+MAX_CLASSES = 10_000
+#: Bytes of a forest's nodes at most that are sent to every task.
+FOREST_BYTES = 1 << 28
+FOREST = "model_name string, version int, tree int, node int, feature int, threshold double, left int, right int, share array<double>, classes array<int>, width int"
 
 
 def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -39,13 +49,20 @@ def train_logreg(
     """L2-regularised logistic regression over the rows of ``df``.
 
     The objective is 1/2*|w|^2 + C * sum of losses with a free intercept, which Spark states as the
-    mean loss plus 1/(C*n) times the penalty. Labels may be any integers; the model keeps them.
+    mean loss plus 1/(C*n) times the penalty. Labels may be any whole numbers; the model keeps them. Rows without a label
+    take no part.
     """
     if solver != "lbfgs":
         raise ValueError(f"solver '{solver}' is not available; use 'lbfgs'")
     check_schema(df, [*features, label])
-    facts = df.agg(F.count("*").alias("n"), F.sort_array(F.collect_set(label)).alias("classes")).first()
-    classes = [int(c) for c in facts["classes"]]
+    df = df.filter(F.col(label).isNotNull())
+    # one row per class; more classes than these are no class labels
+    counts = df.groupBy(label).agg(F.count("*").alias("n")).orderBy(label).limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"'{label}' has more than {MAX_CLASSES} distinct values: no class label")
+    if odd := [r[label] for r in counts if isinstance(r[label], float) and not r[label].is_integer() or isinstance(r[label], str)]:
+        raise ValueError(f"labels must be whole numbers: {odd[:5]}")
+    classes, total = [int(r[label]) for r in counts], sum(r["n"] for r in counts)
     if len(classes) < 2:
         raise ValueError("training needs at least two classes")
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label).cast("int")) - 1
@@ -55,7 +72,7 @@ def train_logreg(
         labelCol="_label",
         family="binomial" if len(classes) == 2 else "multinomial",
         maxIter=max_iter,
-        regParam=1.0 / (C * facts["n"]),
+        regParam=1.0 / (C * total),
         elasticNetParam=0.0,
         standardization=False,
         tol=tol,
@@ -102,3 +119,92 @@ def forest_predictions(model: PipelineModel, df: DataFrame, features: Sequence[s
     best = F.array_max(vector_to_array("probabilities"))
     kept = scored.withColumns({"predicted_class": F.col("predicted").cast("int"), "prediction_probability": best})
     return kept.select(*df.columns, "predicted_class", "prediction_probability")
+
+
+def forest_table(model: PipelineModel, spark: SparkSession, classes: Sequence[int], name: str = "forest", version: int = 1) -> DataFrame:
+    """The nodes of a forest as rows (``FOREST``), to be kept by name and version like coefficients.
+
+    A leaf has feature -1 and no children; ``share`` holds the class shares of the training rows that came to the node,
+    in the order of ``classes``. The rows are read from the trees that the model writes, never gathered on the driver.
+    """
+    forest = model.stages[-1]
+    folder = fresh_folder(spark, "forest")
+    forest.write().save(folder)
+    nodes = spark.read.parquet(f"{folder}/data").select("treeID", "nodeData.*")
+    total = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
+    leaf = F.col("leftChild") < 0
+    return nodes.select(
+        F.lit(name).alias("model_name"),
+        F.lit(version).alias("version"),
+        F.col("treeID").cast("int").alias("tree"),
+        F.col("id").cast("int").alias("node"),
+        F.when(leaf, F.lit(-1)).otherwise(F.col("split.featureIndex")).cast("int").alias("feature"),
+        F.when(~leaf, F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
+        F.col("leftChild").cast("int").alias("left"),
+        F.col("rightChild").cast("int").alias("right"),
+        F.transform("impurityStats", lambda x: x / F.when(total > 0, total).otherwise(F.lit(1.0))).alias("share"),
+        F.array(*[F.lit(int(c)) for c in classes]).alias("classes"),
+        F.lit(forest.numFeatures).alias("width"),
+    )
+
+
+def score_forest(df: DataFrame, nodes: DataFrame, features: Sequence[str], name: str = "forest", version: int = 1) -> DataFrame:
+    """Adds ``predicted_class`` and ``prediction_probability`` by walking the trees of one version of a forest table.
+
+    Whole Arrow batches walk a tree at a time, level by level. The nodes are sent to every task; a forest beyond
+    ``FOREST_BYTES`` is an error. Rows with a missing or not finite feature, or with another number of them, get NULLs.
+    """
+    check_schema(df, features)
+    own = nodes.filter((F.col("model_name") == name) & (F.col("version") == version))
+    count, labels = own.agg(F.count("*"), F.count_distinct("tree")).first()
+    if not count:
+        raise ValueError(f"forest {name} has no version {version}")
+    first = own.first()
+    classes, width = first["classes"], first["width"]
+    if count * (24 + 8 * len(classes)) > FOREST_BYTES:
+        raise ValueError(f"forest {name} version {version} has {count} nodes, too many to send to every task")
+    table = own.select("tree", "node", "feature", "threshold", "left", "right", "share").orderBy("tree", "node").toArrow().combine_chunks()
+    tree = table.column("tree").to_numpy()
+    begin = np.searchsorted(tree, np.arange(labels))
+    sent = df.sparkSession.sparkContext.broadcast(
+        {
+            "begin": begin,
+            "feature": table.column("feature").to_numpy(),
+            "threshold": table.column("threshold").fill_null(0.0).to_numpy(),
+            "left": table.column("left").to_numpy() + begin[tree],
+            "right": table.column("right").to_numpy() + begin[tree],
+            "share": np.array(table.column("share").to_pylist()).reshape(count, len(classes)),
+        }
+    )
+
+    @F.pandas_udf("array<double>")
+    def votes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        trees = sent.value
+        blank = np.full(width, np.nan)
+        for batch in batches:
+            x = np.array([blank if v is None or len(v) != width else np.asarray(v, "float64") for v in batch]).reshape(-1, width)
+            total = np.zeros((len(x), len(classes)))
+            with np.errstate(invalid="ignore"):
+                for root in trees["begin"]:
+                    at = np.full(len(x), root)
+                    walking = np.flatnonzero(trees["feature"][at] >= 0)
+                    while len(walking):
+                        node = at[walking]
+                        left = x[walking, trees["feature"][node]] <= trees["threshold"][node]
+                        at[walking] = np.where(left, trees["left"][node], trees["right"][node])
+                        walking = walking[trees["feature"][at[walking]] >= 0]
+                    total += trees["share"][at]
+            known = np.isfinite(x).all(axis=1)
+            shares = total / np.maximum(total.sum(axis=1, keepdims=True), 1e-300)
+            yield pd.Series([s if k else None for s, k in zip(shares, known)], dtype="object")
+
+    if len(features) == 1 and isinstance(df.schema[features[0]].dataType, T.ArrayType):
+        inputs = F.col(features[0]).cast("array<double>")
+    else:
+        inputs = F.array(*[F.col(f).cast("double") for f in features])
+    scored = df.withColumn("_p", votes(inputs))
+    best = F.array_max("_p")
+    ids = F.array(*[F.lit(int(c)) for c in classes])
+    return scored.withColumns(
+        {"predicted_class": F.get(ids, (F.array_position("_p", best) - 1).cast("int")), "prediction_probability": best}
+    ).drop("_p")

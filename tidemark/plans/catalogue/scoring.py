@@ -46,20 +46,20 @@ def score_pair(spark, folder):
 
 
 # one two-class model per event type, written as a formula of the type's rank
-EVENT_MODELS = {"click": 1, "error": 2, "purchase": 3, "signup": 4}  # views have no model
+EVENT_MODELS = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
 
 
-@query(
-    "score_by_row_model",
-    """WITH m(event_type, r) AS (VALUES ('click', 1), ('error', 2), ('purchase', 3), ('signup', 4)),
-z AS (SELECT event_id, 0.1e0 * r AS z0, -0.2e0 * r + (value / 100.0e0) * (0.3e0 * r) AS z1 FROM events LEFT JOIN m USING (event_type)),
-e AS (SELECT event_id, z0, z1, exp(z0 - greatest(z0, z1)) AS e0, exp(z1 - greatest(z0, z1)) AS e1 FROM z)
-SELECT event_id, CASE WHEN z0 >= z1 THEN 0 WHEN z0 < z1 THEN 1 END AS predicted_class,
-  floor(greatest(e0, e1) / (e0 + e1) * 1e6 + 0.5e0) / 1e6 AS prediction_probability FROM e""",
-)
-def score_by_row_model(spark, folder):
+def _row_model_sql(models: dict[str, int]) -> str:
+    """CTEs ending in ``e``: events with the logits and exponents of their own type's model."""
+    values = ", ".join(f"('{kind}', {rank})" for kind, rank in models.items())
+    return f"""m(event_type, r) AS (VALUES {values}),
+z AS (SELECT event_id, event_type, 0.1e0 * r AS z0, -0.2e0 * r + (value / 100.0e0) * (0.3e0 * r) AS z1 FROM events LEFT JOIN m USING (event_type)),
+e AS (SELECT event_id, event_type, z0, z1, exp(z0 - greatest(z0, z1)) AS e0, exp(z1 - greatest(z0, z1)) AS e1 FROM z)"""
+
+
+def _scored_by_type(spark, folder, models: dict[str, int]):
     events = load_parquet(spark, folder, "events").withColumn("x", F.col("value") / 100.0)
-    rank = F.create_map(*[F.lit(v) for item in EVENT_MODELS.items() for v in item])[F.col("event_type")]
+    rank = F.create_map(*[F.lit(v) for item in models.items() for v in item])[F.col("event_type")]
     kinds = events.select("event_type").distinct().withColumn("r", rank.cast("double")).filter("r IS NOT NULL")
     coefficients = kinds.select(
         "event_type",
@@ -72,10 +72,61 @@ def score_by_row_model(spark, folder):
             )
         ),
     )
-    rows = scoring.score_by_row_model(events, coefficients, ["event_type"], ["x"])
+    return scoring.score_by_row_model(events, coefficients, ["event_type"], ["x"])
+
+
+@query(
+    "score_by_row_model",
+    f"""WITH {_row_model_sql(EVENT_MODELS)}
+SELECT event_id, CASE WHEN z0 >= z1 THEN 0 WHEN z0 < z1 THEN 1 END AS predicted_class,
+  floor(greatest(e0, e1) / (e0 + e1) * 1e6 + 0.5e0) / 1e6 AS prediction_probability FROM e""",
+)
+def score_by_row_model(spark, folder):
+    rows = _scored_by_type(spark, folder, EVENT_MODELS)
     return tidy(rows.select("event_id", "predicted_class", "prediction_probability"))
 
 
+KNOWN_TYPES = {kind: rank for kind, rank in EVENT_MODELS.items() if kind != "view"}
+
+
+@query(
+    "score_rows_without_model",
+    f"""WITH {_row_model_sql(KNOWN_TYPES)}
+SELECT event_type, count(*) AS n, count(z0) AS scored, count(CASE WHEN z0 < z1 THEN 1 END) AS class_1 FROM e GROUP BY event_type""",
+)
+def score_rows_without_model(spark, folder):
+    """Models for all types but one: its rows stay, without a score."""
+    rows = _scored_by_type(spark, folder, KNOWN_TYPES)
+    return rows.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.count("predicted_class").alias("scored"), F.count_if(F.col("predicted_class") == 1).alias("class_1")
+    )
+
+
+# the vectors of every fourth row are cut, carry an infinity, or hold a NULL: none of these has a score
+ODD_VECTORS = """SELECT vec_id, CASE vec_id % 16 WHEN 0 THEN embedding[1:63] WHEN 4 THEN list_append(embedding, 1) WHEN 8 THEN list_append(embedding[1:63], 'inf'::FLOAT)
+  WHEN 12 THEN list_append(embedding[1:63], NULL) ELSE embedding END AS v FROM embeddings"""
+
+
+@query(
+    "score_both_ways",
+    f"""WITH o AS ({ODD_VECTORS}) SELECT count(*) AS n, count(CASE WHEN vec_id % 4 <> 0 THEN 1 END) AS scored, 0::BIGINT AS differences FROM o""",
+)
+def score_both_ways(spark, folder):
+    """The same wide model as plain arithmetic and as one matrix product per batch, over regular and odd vectors."""
+    rows = load_parquet(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("v"))
+    short, last = F.slice("v", 1, 63), lambda x: F.concat(F.slice("v", 1, 63), F.array(x.cast("float")))
+    turn = F.col("vec_id") % 16
+    odd = F.when(turn == 0, short).when(turn == 4, F.concat("v", F.array(F.lit(1.0).cast("float")))).when(turn == 8, last(F.lit("inf")))
+    rows = rows.withColumn("embedding", odd.when(turn == 12, last(F.lit(None))).otherwise(F.col("v"))).drop("v")
+    names = ["predicted_class", *[f"probability_class_{c}" for c in WIDE.class_ids]]
+    ways = [scoring.with_probabilities(rows, WIDE, unroll=unroll).select("vec_id", *names) for unroll in (0, 1 << 20)]
+    both = ways[0].join(ways[1].select("vec_id", *[F.col(n).alias(f"_{n}") for n in names]), "vec_id")
+    same = F.col("predicted_class").eqNullSafe(F.col("_predicted_class"))
+    for n in names[1:]:
+        same = same & (F.abs(F.col(n) - F.col(f"_{n}")) < 1e-9).eqNullSafe(F.when(F.col(n).isNotNull() | F.col(f"_{n}").isNotNull(), F.lit(True)))
+    return both.agg(F.count("*").alias("n"), F.count("predicted_class").alias("scored"), F.count_if(~same).alias("differences"))
+
+
 WIDE = scoring.LinearModel(
     name="vectors",
     version=1,

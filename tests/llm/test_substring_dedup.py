@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,3 +83,66 @@ def test_equal_runs(limit):
     for i in range(400):
         expected.setdefault(text[i : i + 20].tobytes(), set()).add(i)
     assert sorted(map(sorted, groups)) == sorted(map(sorted, expected.values()))
+
+
+def test_hot_anchors_stay_within_blocks(spark, monkeypatch):
+    """A passage in a third of all documents, each in its own context: its anchors go by their strings."""
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 4000)
+    passage = prose(77, 30)
+    texts = [(i, f"{prose(1000 + i, 12)}{passage if i % 3 == 0 else ''}{prose(5000 + i, 12)}") for i in range(600)]
+    docs = documents(spark, texts).repartition(4)
+    assert ids(without_repeats(docs), *COLUMNS) == brute(texts)
+
+
+def segment_rows(n_anchors=60, per_anchor=10):
+    """Segments of anchors with a shared string here and there, sorted by h."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for h in range(n_anchors):
+        common = rng.integers(97, 123, 84).astype(np.uint8)
+        for k in range(per_anchor):
+            own = rng.integers(65, 91, 84).astype(np.uint8)
+            own[k * 3 : 84 - k] = common[k * 3 : 84 - k]
+            own[34:50] = common[34:50]
+            low = int(rng.integers(0, 50))
+            rows.append(dict(h=h, segment=own.tobytes(), low=low, high=low + int(rng.integers(0, 9)), key=h * 100 + k, anchor=34))
+    return rows
+
+
+def test_blocks_in_bounds_give_the_least_holder(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(substring_dedup, "BUCKET_SUFFIXES", 64)
+    rows = segment_rows()
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 37]) for i in range(0, len(rows), 37)]
+    blocks = list(substring_dedup._blocks(iter(batches)))
+    assert sum(b.num_rows for b in blocks) == len(rows) and len(blocks) > 5
+    assert max(b.num_rows for b in blocks) * 84 <= 4000 + 2 * 10 * 84
+    assert all(a.column("h")[-1] != b.column("h")[0] for a, b in zip(blocks, blocks[1:]))
+    first = {}
+    for r in rows:
+        for p in range(35):
+            string = (r["h"], r["segment"][p : p + 50])
+            first[string] = min(first.get(string, r["low"]), r["low"])
+    expected = {r["key"]: [first[r["h"], r["segment"][p : p + 50]] for p in range(35)] for r in rows}
+    expected = {r["key"]: expected[r["key"]] for r in rows if min(expected[r["key"]]) < r["high"]}
+    found = {}
+    for batch in substring_dedup._least_holders(iter(batches)):
+        for r in batch.to_pylist():
+            found[r["key"]] = [least for a, b, least in zip(r["at"], r["until"], r["least"]) for _ in range(a, b)]
+    assert found == expected
+
+
+def test_segments_that_cannot_meet_are_not_sorted():
+    """The side filter keeps every segment that shares a string with another of its anchor."""
+    rng = np.random.default_rng(3)
+    shared = rng.integers(97, 101, 84).astype(np.uint8).tobytes()
+    anchor = 34
+    for cut in range(35):
+        left, right = shared[:anchor], shared[anchor + 16 :]
+        # the other segment agrees on the string that begins ``cut`` bytes into the first, and nowhere else
+        other = bytes(256 - b for b in left[:cut]) + shared[cut : cut + 50] + bytes(256 - b for b in shared[cut + 50 :])
+        assert left and right
+        data = np.frombuffer(shared + other, np.uint8)
+        h = np.zeros(2, np.int64)
+        may = substring_dedup._meeting(h, data, np.array([0, 84]), np.array([84, 84]), np.array([anchor, anchor]))
+        assert may.all(), cut

@@ -5,7 +5,9 @@ anchors, so anchors that no two documents share need no sorting; they are found
 Neighbouring strings with one anchor form a segment of text, and the segments of an anchor are a suffix bucket
 that can be sorted anywhere: each task sorts its buckets block by block with a difference cover, which bounds
 memory by the block. Equal segments are combined before the shuffle, so a passage that a third of all
-documents share is one row of every task. Strings themselves are compared, hashes only bring them together.
+documents share is one row of every task. At the ends of such a passage every document brings a segment of its own
+to one anchor: buckets beyond a block are cut into their strings, which meet by their bytes all over the cluster.
+Strings themselves are compared, hashes only bring them together.
 Copies of a whole text need no search: the one with the smallest doc_id stands for them.
 """
 
@@ -30,6 +32,10 @@ LENGTH, GRAM = 50, 16
 BATCH_BYTES = 2 << 20
 #: Bytes of segments in a block, and suffixes in a bucket that is sorted at once.
 BLOCK_BYTES, BUCKET_SUFFIXES = 2 << 20, 1 << 18
+#: A segment's bytes at most: its anchor lies in all of its strings.
+SEGMENT_BYTES = 2 * LENGTH - GRAM
+#: Of the bytes beside its anchor a string has so many on one side at least.
+_SIDE = (LENGTH - GRAM) // 2
 _BASE = 0x9E3779B97F4A7C15 | 1
 #: Low bits that hold a position while minima are taken; texts beyond are handled by wider ones.
 _PLACE_BITS = 22
@@ -43,15 +49,19 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(np.full(n, np.uint64(_BASE))), np.cumprod(np.full(n, inverse))
 
 
-def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Maximal runs of starts with one anchor inside a text: first start, last start, hash of the anchor."""
+def _gram_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the ``length`` bytes from every position on."""
+    powers, inverses = _powers(1 << max(_PLACE_BITS, int(len(data)).bit_length()))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)])])
+    return mix64((sums[length:] - sums[:-length]) * inverses[: len(sums) - length])
+
+
+def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of starts with one anchor inside a text: first start, last start, place and hash of the anchor."""
     none = np.empty(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, none.astype(np.uint64)
-    size = 1 << max(_PLACE_BITS, int(len(data)).bit_length())
-    powers, inverses = _powers(size)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)])])
-    hashes = mix64((sums[GRAM:] - sums[:-GRAM]) * inverses[: len(sums) - GRAM])
+        return none, none, none, none.astype(np.uint64)
+    hashes = _gram_hashes(data, GRAM)
     place = np.uint64((1 << max(_PLACE_BITS, int(len(data)).bit_length())) - 1)
     least = rolling((hashes & ~place) | np.arange(len(hashes), dtype=np.uint64), LENGTH - GRAM + 1, np.minimum)
     anchor = (least & place).astype(np.int64)
@@ -62,12 +72,12 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     np.add.at(steps, offsets[long_enough + 1] - LENGTH + 1, -1)
     starts = np.flatnonzero(np.cumsum(steps)[: len(anchor)])
     if not len(starts):
-        return none, none, none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64)
     at = anchor[starts]
     text = np.searchsorted(offsets, starts, "right")
     new = np.concatenate([[True], (at[1:] != at[:-1]) | (text[1:] != text[:-1])])
     first = np.flatnonzero(new)
-    return starts[first], starts[np.append(first[1:], len(starts)) - 1], hashes[at[first]]
+    return starts[first], starts[np.append(first[1:], len(starts)) - 1], at[first], hashes[at[first]]
 
 
 def _shared_anchors(docs: DataFrame) -> DataFrame:
@@ -79,7 +89,7 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
         hashes, ids = [], []
         for batch in pieces(batches, "text", BATCH_BYTES):
             data, offsets = raw_bytes(batch.column("text"))
-            first, _, found = segments(data, offsets)
+            first, _, _, found = segments(data, offsets)
             hashes.append(found >> cut)
             ids.append(batch.column("doc_id").to_numpy()[np.searchsorted(offsets, first, "right") - 1])
         h, doc = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (hashes, ids))
@@ -113,64 +123,115 @@ def _later_copies(rows: DataFrame) -> DataFrame:
     return stored(copies.where("copy").select("doc_id"), "copies")
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by h in blocks that end where h changes, each closed at the first such place after its bytes."""
+    held: list[pa.RecordBatch] = []
+    used = 0
+    for batch in batches:
+        held.append(batch)
+        used += int(raw_bytes(batch.column("segment"))[1][-1])
+        if used < BLOCK_BYTES:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        ends = raw_bytes(rows.column("segment"))[1]
+        h = rows.column("h").to_numpy()
+        changes = np.flatnonzero(h[1:] != h[:-1]) + 1
+        start = 0
+        while (i := int(np.searchsorted(ends[changes], ends[start] + BLOCK_BYTES))) < len(changes):
+            yield rows.slice(start, int(changes[i]) - start)
+            start = int(changes[i])
+        held, used = rows.slice(start).to_batches(), int(ends[-1] - ends[start])
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _meeting(h: np.ndarray, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Which segments may share a string with another of their anchor.
+
+    Such a string holds the anchor and ``_SIDE`` bytes on one side of it, and has them in both segments.
+    """
+    may = np.zeros(len(h), bool)
+    if len(data) < GRAM + _SIDE:
+        return may
+    hashes = _gram_hashes(data, GRAM + _SIDE)
+    for at, there in ((anchor - _SIDE, anchor >= _SIDE), (anchor, anchor + GRAM + _SIDE <= sizes)):
+        rows = np.flatnonzero(there)
+        _, kind, n = np.unique(mix64(hashes[begins[rows] + at[rows]] + mix64(h[rows].view(np.uint64))), return_inverse=True, return_counts=True)
+        may[rows] |= n[kind] > 1
+    return may
+
+
 def _least_holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From segments (h, segment, low, high) sorted by h: for each, the smallest document of every string in it.
+    """From segments (h, segment, key, anchor, low, high) sorted by h: for each, the smallest document of every
+    string in it.
 
     One row per segment from which a document may lose something: (h, key, at, least), run-length coded by start.
     """
+    names = ["h", "key", "at", "until", "least"]
 
-    def block(rows: list[tuple]) -> pa.RecordBatch:
-        texts = [r[1] for r in rows]
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    def listed(h, key, lengths, *runs) -> pa.RecordBatch:
+        bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(key), *(pa.ListArray.from_arrays(bounds, pa.array(r)) for r in runs)], names)
+
+    for rows in _blocks(batches):
+        h, key, low, high, anchor = (rows.column(c).to_numpy().astype(np.int64) for c in ("h", "key", "low", "high", "anchor"))
+        data, offsets = raw_bytes(rows.column("segment"))
+        sizes = np.diff(offsets)
+        sort = _meeting(h, data, offsets[:-1], sizes, anchor)
+        # the others meet no other string: their own smallest document holds all of theirs
+        own = np.flatnonzero(~sort & (low < high))
+        yield listed(h[own], key[own], np.ones(len(own), np.int64), np.zeros(len(own), np.int64), sizes[own] - LENGTH + 1, low[own])
+        if not sort.any():
+            continue
+        pick = np.flatnonzero(sort)
+        from_, h, key, low, high, sizes = offsets[pick], h[pick], key[pick], low[pick], high[pick], sizes[pick]
         # every segment is followed by its number, so that suffixes differ soon after it
         begins = np.cumsum(sizes + PERIOD) - (sizes + PERIOD)
         text = np.zeros(int((sizes + PERIOD).sum()) + PERIOD, np.uint8)
         for i in range(4):
-            text[begins + sizes + i] = np.arange(len(rows)) >> 8 * (3 - i) & 255
-        counts = sizes - LENGTH + 1
+            text[begins + sizes + i] = np.arange(len(pick)) >> 8 * (3 - i) & 255
         inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        text[np.repeat(begins, sizes) + inside] = np.frombuffer(b"".join(texts), np.uint8)
+        text[np.repeat(begins, sizes) + inside] = data[np.repeat(from_, sizes) + inside]
+        counts = sizes - LENGTH + 1
         edges = np.concatenate([[0], np.cumsum(counts)])
         starts = np.repeat(begins - edges[:-1], counts) + np.arange(edges[-1])
-        low = np.fromiter((r[2] for r in rows), np.int64, len(rows))
-        h = np.fromiter((r[0] for r in rows), np.int64, len(rows))
-        owner = np.repeat(np.arange(len(rows)), counts)
+        owner = np.repeat(np.arange(len(pick)), counts)
         least = low[owner]
-        _, group, members = np.unique(h, return_inverse=True, return_counts=True)
-        crowd = (members[group] > 1)[owner]  # a segment alone with its anchor meets no other string
         number = np.full(len(text), -1, np.int64)
         number[starts] = np.arange(len(starts))
-        for order, new in equal_runs(text, starts[crowd], LENGTH, BUCKET_SUFFIXES) if crowd.any() else ():
-            own = number[order]
+        for order, new in equal_runs(text, starts, LENGTH, BUCKET_SUFFIXES):
+            strings = number[order]
             first = np.flatnonzero(new)
-            least[own] = np.repeat(np.minimum.reduceat(least[own], first), np.diff(first, append=len(own)))
+            least[strings] = np.repeat(np.minimum.reduceat(least[strings], first), np.diff(first, append=len(strings)))
         change = np.ones(len(least), bool)
         change[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
         at = np.flatnonzero(change)
         runs = np.searchsorted(at, edges)
-        high = np.fromiter((r[3] for r in rows), np.int64, len(rows))
-        useful = np.minimum.reduceat(least, edges[:-1]) < high
-        keep = np.flatnonzero(useful)
+        keep = np.flatnonzero(np.minimum.reduceat(least, edges[:-1]) < high)
         lengths = np.diff(runs)[keep]
-        pick = np.repeat(runs[keep] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-        bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-        from_ = at[pick] - edges[owner[at[pick]]]
-        until = np.append(at[1:], len(least))[pick] - edges[owner[at[pick]]]
-        columns = [pa.array(h[keep]), pa.array([rows[i][4] for i in keep.tolist()], pa.int64())]
-        columns += [pa.ListArray.from_arrays(bounds, pa.array(c)) for c in (from_, until, least[at[pick]])]
-        return pa.RecordBatch.from_arrays(columns, ["h", "key", "at", "until", "least"])
+        chosen = np.repeat(runs[keep] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+        shift = edges[owner[at[chosen]]]
+        yield listed(h[keep], key[keep], lengths, at[chosen] - shift, np.append(at[1:], len(least))[chosen] - shift, least[at[chosen]])
 
-    held: list[tuple] = []
-    used = 0
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("h", "segment", "low", "high", "key"))):
-            if used >= BLOCK_BYTES and held[-1][0] != row[0]:
-                yield block(held)
-                held, used = [], 0
-            held.append(row)
-            used += len(row[1])
-    if held:
-        yield block(held)
+
+def _crowded_anchors(cuts: DataFrame) -> DataFrame:
+    """Column h: the anchors whose distinct segments may not fit a block; only hashes are shuffled."""
+    each = cuts.select("h", "key").distinct().groupBy("h").agg(F.count("*").alias("n"))
+    return stored(each.where(F.col("n") > BLOCK_BYTES // SEGMENT_BYTES).select("h"), "crowded")
+
+
+def _least_holders_by_string(distinct: DataFrame) -> DataFrame:
+    """What ``_least_holders`` gives, for anchors of any number of segments: equal strings are grouped by Spark.
+
+    A segment has ``LENGTH - GRAM + 1`` strings at most. A string that very many segments hold is combined before
+    the shuffle, and on the way back split by the skew join.
+    """
+    places = F.sequence(F.lit(1), F.length("segment") - (LENGTH - 1))
+    strings = distinct.select("h", "key", "low", "high", F.posexplode(F.transform(places, lambda i: F.substring(F.col("segment"), i, F.lit(LENGTH)))).alias("at", "string"))
+    held = strings.groupBy("h", "string").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").drop("most")
+    lost = strings.join(held, ["h", "string"]).where("least < high")
+    one = F.struct(F.col("at").cast("long").alias("at"), (F.col("at") + 1).cast("long").alias("until"), "least")
+    return lost.groupBy("h", "key").agg(F.collect_list(one).alias("runs")).select("h", "key", "runs.at", "runs.until", "runs.least")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -186,21 +247,28 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", BATCH_BYTES):
             data, offsets = raw_bytes(batch.column("text"))
-            first, last, h = segments(data, offsets)
+            first, last, anchor, h = segments(data, offsets)
             hit = shared.value.has(h >> cut << cut)
-            first, last, h = first[hit], last[hit], h[hit]
+            first, last, anchor, h = first[hit], last[hit], anchor[hit], h[hit]
             text = np.searchsorted(offsets, first, "right") - 1
             whole = data.tobytes()
             found = pa.array([whole[a : b + LENGTH] for a, b in zip(first.tolist(), last.tolist())], pa.binary())
             take = pa.array(text)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("row").take(take), pa.array(first - offsets[text]), pa.array(h.view(np.int64)), found], ["doc_id", "row", "start", "h", "segment"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("row").take(take), pa.array(first - offsets[text]), pa.array((anchor - first).astype(np.int16)), pa.array(h.view(np.int64)), found], ["doc_id", "row", "start", "anchor", "h", "segment"])
 
-    cuts = texts.mapInArrow(cut_out, "doc_id long, row long, start long, h long, segment binary")
+    cuts = texts.mapInArrow(cut_out, "doc_id long, row long, start long, anchor short, h long, segment binary")
     release_shuffles(spark)
     cuts = stored(cuts.withColumn("key", F.xxhash64("segment")), "segments", "zstd")
-    distinct = cuts.groupBy("h", "segment", "key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    bucketed = distinct.repartition("h").sortWithinPartitions("h").select("h", "segment", "low", "high", "key")
-    found = stored(bucketed.mapInArrow(_least_holders, "h long, key long, at array<long>, until array<long>, least array<long>"), "holders")
+    crowded = _crowded_anchors(cuts)
+
+    def distinct(how: str) -> DataFrame:
+        least = F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("anchor").alias("anchor")
+        return cuts.join(crowded, "h", how).groupBy("h", "segment", "key").agg(*least)
+
+    bucketed = distinct("left_anti").repartition("h").sortWithinPartitions("h").select("h", "segment", "low", "high", "key", "anchor")
+    sorted_ = stored(bucketed.mapInArrow(_least_holders, "h long, key long, at array<long>, until array<long>, least array<long>"), "holders")
+    split = stored(_least_holders_by_string(stored(distinct("left_semi"), "crowds", "zstd")), "strings")
+    found = sorted_.unionByName(split)
     release_shuffles(spark)
     # a segment is known by the hash of its anchor and its own: a very common one is split by the skew join
     met = cuts.select("doc_id", "row", "start", "h", "key").join(found, ["h", "key"])

@@ -10,26 +10,29 @@ def masked(line):
     return re.sub(r"[^ ]*[0-9][^ ]*", "<*>", line)
 
 
-def brute(texts, min_docs=3, share=0.6):
+def brute(texts, min_docs=3, share=0.6, long_docs=2):
     lines = []
     for key in dict.fromkeys(texts):
         lines += [(key, n, m) for n, raw in enumerate((key[1] or "").split("\n")) if (m := masked(raw))]
+    needed = lambda m: min(min_docs, long_docs) if m.count(" ") >= 49 else min_docs
     leaf = lambda m: (m.count(" ") + 1, *m.split(" ")[:3])
     holders, tokens = defaultdict(set), defaultdict(int)
     for key, _, m in lines:
-        holders[m].add(key)
+        holders[m].add(key[1])
     for m, docs in holders.items():
+        own = leaf(m)
         for at, t in enumerate(m.split(" ")):
-            tokens[leaf(m), at, t] += len(docs)
+            tokens[own, at, t] += len(docs)
     template = {}
     for m in holders:
-        often = [(t, tokens[leaf(m), at, t] >= min_docs) for at, t in enumerate(m.split(" "))]
+        own, least = leaf(m), needed(m)
+        often = [(t, tokens[own, at, t] >= least) for at, t in enumerate(m.split(" "))]
         kept = sum(o and t != "<*>" for t, o in often) / len(often)
         template[m] = (leaf(m), " ".join(t if o else "<*>" for t, o in often) if kept >= share else m)
     spread = defaultdict(set)
     for key, _, m in lines:
-        spread[template[m]].add(key)
-    gone = {(key, n) for key, n, m in lines if len(spread[template[m]]) >= min_docs}
+        spread[template[m]].add(key[1])
+    gone = {(key, n) for key, n, m in lines if len(spread[template[m]]) >= needed(m)}
     out = []
     for key in texts:
         own = [] if key[1] is None else key[1].split("\n")
@@ -57,6 +60,22 @@ def test_brute_force(spark):
 
 
 def test_all_lines_dropped_and_empty_table(spark):
-    texts = [(i, "one and the same line") for i in range(4)]
+    texts = [(i, "one and the same line" + " " * i) for i in range(4)]
     assert [(r["n_dropped"], r["text"]) for r in without_recurring_lines(documents(spark, texts), min_docs=3).collect()] == [(1, "")] * 4
     assert without_recurring_lines(documents(spark, [])).count() == 0
+
+
+def test_production_bounds(spark):
+    """Passages of over 50 words in two documents go, short lines in two stay, exact copies are no recurrence."""
+    passage = prose(31, 60).replace("\n", " ")
+    assert passage.count(" ") >= 50
+    copy = "\n".join(prose(40 + k, 9).replace("\n", " ") for k in range(3))
+    texts = [(i, f"{prose(900 + i, 12)}\n{passage}\n{prose(950 + i, 9)}") for i in range(2)]
+    texts += [(10 + i, f"{prose(970 + i, 11)}\nseen in two places only") for i in range(2)]
+    texts += [(20 + i, copy) for i in range(5)]
+    texts += [(30 + i, f"{prose(990 + i, 7)}\nseen in three places here") for i in range(3)]
+    found = {r["doc_id"]: r for r in without_recurring_lines(documents(spark, texts)).collect()}
+    assert all(found[i]["n_dropped"] == 1 and passage not in found[i]["text"] for i in range(2))
+    assert all(found[i]["n_dropped"] == 0 for i in (10, 11, 20, 21, 22, 23, 24))
+    assert all(found[i]["n_dropped"] == 1 for i in (30, 31, 32))
+    assert ids(without_recurring_lines(documents(spark, texts)), *COLUMNS) == brute(texts)

@@ -129,17 +129,17 @@ ORACLES = {
           doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t)""",
     "op10_line_template_dedup": r"""
         WITH s AS (SELECT doc_id, text, string_split(text, chr(10)) AS a FROM documents),
-        x AS (SELECT doc_id, i, regexp_replace(trim(regexp_replace(a[i], '[ \t\r]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line
+        x AS (SELECT doc_id, text, i, regexp_replace(trim(regexp_replace(a[i], '[ \t\r]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line
           FROM s, unnest(range(1, len(a) + 1)) AS u(i)),
         l AS (SELECT *, string_split(line, ' ') AS w FROM x WHERE line <> ''),
         k AS (SELECT *, len(w) || ' ' || array_to_string(w[1:3], ' ') AS leaf FROM l),
-        d AS (SELECT leaf, line, any_value(w) AS w, count(DISTINCT doc_id) AS docs FROM k GROUP BY leaf, line),
-        t AS (SELECT leaf, line, docs, p, w[p] AS token FROM d, unnest(range(1, len(w) + 1)) AS u(p)),
-        f AS (SELECT leaf, p, token, sum(docs) >= 10 AS often FROM t GROUP BY ALL),
+        d AS (SELECT leaf, line, any_value(w) AS w, count(DISTINCT text) AS docs FROM k GROUP BY leaf, line),
+        t AS (SELECT leaf, line, docs, p, w[p] AS token, CASE WHEN len(w) >= 50 THEN 2 ELSE 3 END AS needed FROM d, unnest(range(1, len(w) + 1)) AS u(p)),
+        f AS (SELECT leaf, p, token, sum(docs) >= any_value(needed) AS often FROM t GROUP BY leaf, p, token),
         g AS (SELECT leaf, line, avg(CASE WHEN often AND token <> '<*>' THEN 1.0 ELSE 0.0 END) AS kept,
           string_agg(CASE WHEN often THEN token ELSE '<*>' END, ' ' ORDER BY p) AS general FROM t JOIN f USING (leaf, p, token) GROUP BY leaf, line),
-        m AS (SELECT doc_id, i, leaf, CASE WHEN kept >= 0.6 THEN general ELSE line END AS template FROM k JOIN g USING (leaf, line)),
-        r AS (SELECT leaf, template FROM m GROUP BY leaf, template HAVING count(DISTINCT doc_id) >= 10),
+        m AS (SELECT doc_id, text, i, leaf, len(w) AS n, CASE WHEN kept >= 0.6 THEN general ELSE line END AS template FROM k JOIN g USING (leaf, line)),
+        r AS (SELECT leaf, template FROM m GROUP BY leaf, template HAVING count(DISTINCT text) >= CASE WHEN any_value(n) >= 50 THEN 2 ELSE 3 END),
         z AS (SELECT doc_id, list(i) AS gone FROM m JOIN r USING (leaf, template) GROUP BY doc_id)
         SELECT doc_id, coalesce(len(a), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_dropped,
           sha256(coalesce(CASE WHEN gone IS NULL THEN text

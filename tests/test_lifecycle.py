@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tidemark.operators.prep import normalize_names, range_rules
-from tidemark.plans.lifecycle import METRICS, Lifecycle
+from tidemark.plans.lifecycle import METRICS, PARAMS, Lifecycle
 from tidemark.sources import predictions as history
 from tidemark.sources.tables import SMOKE_FEATURES, TableSpace, smoke_rows
 from tidemark.sources.workspace import Summary
@@ -30,6 +30,8 @@ def test_whole_lifecycle(spark, raw):
     first = job.train(max_iter=2)
     assert first.version == 1
     logged = {r["metric"]: r["value"] for r in space.read(METRICS).collect()}
+    settings = {r["param"]: r["value"] for r in space.read(PARAMS).filter("version = 1").collect()}
+    assert settings["solver"] == "lbfgs" and settings["max_iter"] == "2" and settings["label"] == "target"
     assert set(logged) == {f"train_{m}" for m in ("accuracy", "precision", "recall", "f1_score", "log_loss", "roc_auc")} | {"test_accuracy"}
     assert 0.5 < logged["train_roc_auc"] <= 1 and logged["train_log_loss"] > 0
     assert job.compare().first()["status"] == "no_production"

@@ -143,3 +143,8 @@ def test_intervals(spark):
 def test_metric_rows(spark):
     rows = registry.metric_rows(spark.createDataFrame([("accuracy", 0.5)], "metric string, value double"), "r", "m", 2)
     assert [tuple(r) for r in rows.collect()] == [("r", "m", 2, "accuracy", 0.5)]
+
+
+def test_param_rows(spark):
+    rows = registry.param_rows(spark, {"solver": "lbfgs", "depth": None, "c": 0.5}, "r", "m", 2)
+    assert [tuple(r) for r in rows.collect()] == [("r", "m", 2, "c", "0.5"), ("r", "m", 2, "depth", None), ("r", "m", 2, "solver", "lbfgs")]

@@ -8,9 +8,9 @@ map-side combined aggregate, so a model holding most of the log does not fill on
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import cell_grid, to_cells
@@ -20,6 +20,7 @@ from tidemark.sources.workspace import Summary
 ALIAS_LOG = "model_name string, alias string, op string, version int, seq bigint, ts timestamp"
 VERSIONS = "model_name string, version int, created_at timestamp"
 METRIC_LOG = "run_id string, model_name string, version int, metric string, value double"
+PARAM_LOG = "run_id string, model_name string, version int, param string, value string"
 EVENT = ["model_name", "alias", "op", "version", "seq", "ts"]
 
 
@@ -295,3 +296,9 @@ def metric_rows(metrics: DataFrame, run_id: str, model_name: str, version: int)
         "metric",
         F.col("value").cast("double").alias("value"),
     )
+
+
+def param_rows(spark: SparkSession, params: Mapping[str, object], run_id: str, model_name: str, version: int) -> DataFrame:
+    """The settings of a run as rows of the parameter log, by name; values are kept as text, None as NULL."""
+    rows = [(run_id, model_name, version, name, None if value is None else str(value)) for name, value in sorted(params.items())]
+    return spark.createDataFrame(rows, PARAM_LOG)

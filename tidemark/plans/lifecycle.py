@@ -31,6 +31,7 @@ MODELS = "model_coefficients"
 VERSIONS = "model_versions"
 ALIASES = "model_alias_log"
 METRICS = "metrics_log"
+PARAMS = "params_log"
 SIGNATURES = "model_signatures"
 
 
@@ -109,7 +110,7 @@ class Lifecycle:
     def train(
         self, max_iter: int = 200, solver: str = "lbfgs", ts: datetime | None = None, run_id: str = "train"
     ) -> LinearModel:
-        """Trains on the prepared rows, logs its metrics and registers a new version.
+        """Trains on the prepared rows, logs its parameters and metrics and registers a new version.
 
         The version becomes ``challenger`` when a production version exists, else ``baseline``. The version row
         and then the alias are written last: a run that stops before leaves no usable version, and its number
@@ -126,6 +127,8 @@ class Lifecycle:
         scaler = self.space.read(SCALER).withColumns({"model_name": F.lit(self.model_name), "version": F.lit(version)})
         events = durable(events)
         self.space.append(durable(scaler), MODEL_SCALERS)
+        params = {"solver": solver, "max_iter": max_iter, "features": ",".join(self.features), "label": self.label, "classes": len(model.class_ids)}
+        self.space.append(registry.param_rows(self.space.spark, params, run_id, model.name, version), PARAMS)
         self.space.append(self._training_metrics(model, train, test, run_id), METRICS)
         self.space.append(model.to_table(self.space.spark), MODELS)
         signature = self._this(version=version, signature=model_signature(train, self.features))

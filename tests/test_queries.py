@@ -22,7 +22,7 @@ def db():
 
 def test_names():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"ks_exact_pvalue", "train_logreg", "train_logreg_coefficients", "train_forest"}
+    assert set(QUERIES) - set(SQL) == {"train_logreg", "train_logreg_coefficients", "train_forest"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

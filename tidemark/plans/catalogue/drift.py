@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import rounded
+from tidemark.functions.exact_ks import EXACT_MAX_ROWS
 from tidemark.operators import drift
 from tidemark.plans.catalogue.base import CUT, FEATURES, lineitem, long_sql, query, rnd, scored, scored_ctes, tidy
 from tidemark.sources.tables import load_parquet
@@ -58,14 +59,41 @@ def ks_limit_pvalue(spark, folder):
 
 
 EVENT_CUT = "2024-01-16"
+EVENT_FEATURES = ("value", "user_id")
+EVENT_ROWS = long_sql(EVENT_FEATURES, f"CAST(ts < TIMESTAMP '{EVENT_CUT}' AS INTEGER) AS b", "events")
 
 
-@query("ks_exact_pvalue")
+def exact_ctes() -> str:
+    """CTEs from ``ks`` to ``exact(feature, p)``, for sides of up to ``EXACT_MAX_ROWS`` values.
+
+    The chance that a random lattice path to (n, m) has stayed where |i/n - j/m| < d, one diagonal i + j = t a step:
+    ``stay`` holds it for the points (i, t - i) inside, from i = ``lo`` on. A point is entered from (i - 1, t - i) with
+    chance i/t, else from (i, t - i - 1); what lies outside the list has chance 0.
+    """
+    edge = "(t + 1) * b"
+    low = f"greatest(0, t + 1 - m, CAST(floor(({edge} - reach) / (a + b)::DOUBLE) AS BIGINT) + 1)"
+    high = f"least(n, t + 1, CAST(ceil(({edge} + reach) / (a + b)::DOUBLE) AS BIGINT) - 1)"
+    return f"""sides AS (SELECT feature, n::BIGINT AS n, m::BIGINT AS m, d, gcd(n::BIGINT, m::BIGINT) AS g FROM ks
+  WHERE n >= 1 AND m >= 1 AND greatest(n, m) <= {EXACT_MAX_ROWS}),
+walk AS (SELECT feature, n, m, m // g AS a, n // g AS b, CAST(round(d * (n // g * m)) AS BIGINT) AS reach, 0::BIGINT AS t,
+  0::BIGINT AS lo, [1.0::DOUBLE] AS stay FROM sides
+  UNION ALL
+  SELECT feature, n, m, a, b, reach, t + 1, low, list_transform(range(low, high + 1), lambda i:
+    i / (t + 1)::DOUBLE * coalesce(stay[i - lo], 0.0::DOUBLE) + (t + 1 - i) / (t + 1)::DOUBLE * coalesce(stay[i - lo + 1], 0.0::DOUBLE))
+  FROM (SELECT *, {low} AS low, {high} AS high FROM walk WHERE t < n + m AND reach > 0)),
+exact AS (SELECT feature, CASE WHEN reach <= 0 THEN 1.0e0 ELSE greatest(0.0e0, 1.0e0 - coalesce(stay[n - lo + 1], 0.0::DOUBLE)) END AS p
+  FROM walk WHERE t = n + m OR reach <= 0)"""
+
+
+EXACT_OR_SERIES = "(SELECT test.* EXCLUDE (p), coalesce(exact.p, test.p) AS p FROM test LEFT JOIN exact USING (feature))"
+
+
+@query("ks_exact_pvalue", f"WITH RECURSIVE {ks_ctes(EVENT_ROWS)}, {p_ctes('asymp')}, {exact_ctes()} SELECT {RESULT} FROM {EXACT_OR_SERIES}")
 def ks_exact_pvalue(spark, folder):
     """Automatic choice of the p-value: exact while both sides are small."""
     events, cut = load_parquet(spark, folder, "events"), F.lit(EVENT_CUT).cast("timestamp_ntz")
     sides = events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut)
-    return tidy(drift.ks_two_sample(*sides, ["value", "user_id"], method="auto"))
+    return tidy(drift.ks_two_sample(*sides, EVENT_FEATURES, method="auto"))
 
 
 MEANS = """means AS (SELECT feature, avg(v) FILTER (b = 1) AS baseline_mean, avg(v) FILTER (b = 0) AS production_mean

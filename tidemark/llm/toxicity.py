@@ -1,8 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, on toxic and on ordinary text. Toxic and ordinary rows share almost all
-of their words, so both begin with one base dictionary trained on ordinary windows and differ in an end of equal
-size: the words of toxic rows that are ``LIFT`` times as frequent there, or common words of ordinary rows. The
+Windows are compressed with two zstandard dictionaries, of which only the common base is trained, on ordinary
+windows: toxic and ordinary rows share almost all of their words, and dictionaries trained separately told them apart
+worse. The two differ in an end of equal size: the words of toxic rows that are ``LIFT`` times as frequent there, or common words of ordinary rows. The
 classifier is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``); scores cover everything. A window of words is compressed with both; how much shorter the toxic dictionary
 makes it is evidence that ordinary text does not explain. A document's shares of windows beyond several gains
 are calibrated to a probability on labelled rows that trained no dictionary.

@@ -32,6 +32,17 @@ def test_score_matches_numpy(spark):
         assert row["prediction_probability"] == max(got) and row["a"] == raw[0]
 
 
+def test_a_filter_on_a_score_does_not_repeat_the_arithmetic(spark):
+    df = spark.createDataFrame([(i, float(i), -float(i), None if i % 2 else i) for i in range(6)], "id long, a double, b double, `x.y` long")
+    scored = scoring.score(df, MODEL, {"a": (1.0, 2.0), "b": (-3.0, 0.5)})
+    kept = scored.filter("prediction_probability > 0.5 AND id > 0")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("EXP(") == 3 and plan.count("/ 0.5)") == 1  # one for each class, one view of a feature
+    assert "(id#" in plan.split("Generate")[1]  # other conditions still go below
+    assert scored.columns[:4] == df.columns and scored.count() == 6
+    assert kept.count() == sum(r["prediction_probability"] > 0.5 and r["id"] > 0 for r in scored.collect())
+
+
 def test_ties_and_missing_features(spark):
     flat = LinearModel("m", 1, ("a",), (3, 5), (0.0, 0.0), ((0.0,), (0.0,)))
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),)], "a double")

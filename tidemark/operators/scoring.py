@@ -169,6 +169,10 @@ def with_probabilities(
     scores = [F.col(z) for z in zs]
     best = F.greatest(*scores) if len(scores) > 1 else scores[0]
     staged = staged.withColumns({e: F.exp(z - best) for e, z in zip(es, scores)})
+    # a row of one struct: a filter on what follows stays above it, and does not repeat the arithmetic for every mention
+    staged = staged.select("*", F.inline(F.array(F.struct(*[F.col(c).alias(f"_{c}") for c in [*zs, *es]])))).drop(*zs, *es)
+    zs, es = [f"_{z}" for z in zs], [f"_{e}" for e in es]
+    scores = [F.col(z) for z in zs]
     total = sum((F.col(e) for e in es[1:]), F.col(es[0]))
     return staged.withColumns(
         {prediction: argmax(scores, model.class_ids), **{o: F.col(e) / total for o, e in zip(outputs, es)}}

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -144,3 +145,14 @@ def test_rejection_bounds_cover_all_rows(spark):
         beyond = (entropy[own, i] - mean) * np.sqrt(np.minimum(length[own], language.SURE))
         assert found.usual[i] == pytest.approx(mean) and found.excess[i] == pytest.approx(max(1.0, np.quantile(beyond, language.CALIBRATION_SHARE)))
     assert np.isfinite(found.excess).all()
+
+
+def test_the_driver_holds_columns_not_an_object_for_each_count(spark):
+    rng = random.Random(4)
+    rows = [(i, "xy"[i % 2], " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(60))) for i in range(200)]
+    train(table(spark, rows[:4]), F.lit(True))  # modules are loaded
+    tracemalloc.start()
+    found = train(table(spark, rows), F.lit(True))
+    peak, size = tracemalloc.get_traced_memory()[1], len(found.models.grams)
+    tracemalloc.stop()
+    assert size > 40_000 and peak < 400 * size, (size, peak)

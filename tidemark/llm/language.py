@@ -142,45 +142,55 @@ class CharModels:
     @staticmethod
     def fit(counts: pd.DataFrame) -> CharModels:
         """From summed counts (lang, n, gram, context, suffix, opens, count)."""
-        counts = counts.copy()
-        for name in ("gram", "context", "suffix"):
-            counts[name] = counts[name].to_numpy(np.int64).view(np.uint64)
-        languages = sorted(counts["lang"].unique())
-        column = {lang: i for i, lang in enumerate(languages)}
-        shorter, below = np.array([ROOT]), np.full((1, len(languages)), 1.0 / max(2, len(counts[counts["n"] == 1]["gram"].unique()) + 1))
+        codes, names = pd.factorize(counts["lang"], sort=True)
+        hashes = (counts[c].to_numpy(np.int64).view(np.uint64) for c in ("gram", "context", "suffix"))
+        return CharModels.fit_columns(list(names), codes, counts["n"].to_numpy(), *hashes, counts["opens"].to_numpy(bool), counts["count"].to_numpy(np.int64))
+
+    @staticmethod
+    def fit_columns(languages: list[str], lang: np.ndarray, order: np.ndarray, gram: np.ndarray, context: np.ndarray, suffix: np.ndarray, opens: np.ndarray, count: np.ndarray) -> CharModels:
+        """From summed counts as plain columns, ``lang`` as the place in ``languages``: the driver holds little beside them."""
+        shorter, below = np.array([ROOT]), np.full((1, len(languages)), 1.0 / max(2, len(np.unique(gram[order == 1])) + 1))
         unseen = below[0]
         grams, log_p, contexts, log_rest = [], [], [], []
         for n in range(1, ORDER + 1):
-            own = counts[counts["n"] == n]
-            own = own[np.isin(own["suffix"].to_numpy(), shorter)]
-            if own.empty:
+            own = np.flatnonzero(order == n)
+            own = own[np.isin(suffix[own], shorter)]
+            if not len(own):
                 break
-            if n < ORDER:  # how many different characters precede it; a word's start has none
-                left = counts[counts["n"] == n + 1].groupby(["lang", "suffix"]).size()
-                before = left.reindex(pd.MultiIndex.from_arrays([own["lang"], own["gram"]])).fillna(0).to_numpy()
-                own = own.assign(count=np.where(own["opens"], own["count"], np.maximum(before, 1)))
-            index, sample = np.unique(own["gram"].to_numpy(), return_index=True)
-            above, links = np.unique(own["context"].to_numpy(), return_inverse=True)
+            index, sample = np.unique(gram[own], return_index=True)
+            above, links = np.unique(context[own], return_inverse=True)
             rest, seen = np.ones((len(above), len(languages))), np.zeros((len(index), len(languages)))
-            for lang, part in own.groupby("lang"):
-                value, context = part["count"].to_numpy(float), np.searchsorted(above, part["context"].to_numpy())
+            for i in range(len(languages)):
+                mine = lang[own] == i
+                part = own[mine]
+                if not len(part):
+                    continue
+                value = count[part].astype(float)
+                if n < ORDER:  # how many different characters precede it; a word's start has none
+                    followed, times = np.unique(suffix[(order == n + 1) & (lang == i)], return_counts=True)
+                    before = np.zeros(len(part), np.int64)
+                    if len(followed):
+                        at = np.minimum(np.searchsorted(followed, gram[part]), len(followed) - 1)
+                        before = np.where(followed[at] == gram[part], times[at], 0)
+                    value = np.where(opens[part], value, np.maximum(before, 1))
+                where = links[mine]
                 ones, twos = (value == 1).sum(), (value == 2).sum()
                 discount = ones / (ones + 2 * twos) if ones and twos else 0.75
-                total = np.bincount(context, value, len(above))
-                kinds = np.bincount(context, minlength=len(above))
+                total = np.bincount(where, value, len(above))
+                kinds = np.bincount(where, minlength=len(above))
                 known = total > 0
-                rest[known, column[lang]] = discount * kinds[known] / total[known]
-                seen[np.searchsorted(index, part["gram"].to_numpy()), column[lang]] = (value - discount) / total[context]
+                rest[known, i] = discount * kinds[known] / total[known]
+                seen[np.searchsorted(index, gram[part]), i] = (value - discount) / total[where]
             if n == 1:
                 unseen = rest[0] * unseen
-            lower = below[np.searchsorted(shorter, own["suffix"].to_numpy()[sample])]
+            lower = below[np.searchsorted(shorter, suffix[own][sample])]
             below = seen + rest[links[sample]] * lower
             shorter = index
             grams, log_p, contexts, log_rest = [*grams, index], [*log_p, np.log(below)], [*contexts, above], [*log_rest, np.log(rest)]
         if not grams:
             return CharModels([], *[np.empty(0)] * 5)
-        order, above = np.concatenate(grams).argsort(), np.concatenate(contexts).argsort()
-        return CharModels(languages, np.concatenate(grams)[order], np.concatenate(log_p)[order].astype(np.float32), np.concatenate(contexts)[above], np.concatenate(log_rest)[above].astype(np.float32), np.log(unseen))
+        by_gram, by_context = np.concatenate(grams).argsort(), np.concatenate(contexts).argsort()
+        return CharModels(languages, np.concatenate(grams)[by_gram], np.concatenate(log_p)[by_gram].astype(np.float32), np.concatenate(contexts)[by_context], np.concatenate(log_rest)[by_context].astype(np.float32), np.log(unseen))
 
     def word_scores(self, bag: WordBag) -> tuple[np.ndarray, np.ndarray]:
         """Log probability of each distinct word by language, and its number of predicted characters."""
@@ -241,6 +251,16 @@ class Identifier:
         return names[np.where(none, -1, best)].tolist(), np.where(none, 0.0, 1.0 / odds), np.where(none, 0.0, lowest), rejected
 
 
+def _gathered(summed: DataFrame) -> CharModels:
+    """Models from the whole table of counts. Its columns come as Arrow buffers and languages as numbers: 38 bytes a row on
+    the driver instead of an object for each value."""
+    languages = sorted(r["lang"] for r in summed.select("lang").distinct().collect())
+    code = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1 if languages else F.lit(0)
+    plain = summed.select(code.cast("smallint").alias("lang"), F.col("n").cast("tinyint").alias("n"), "gram", "context", "suffix", "opens", "count").toArrow()
+    hashes = (plain.column(c).to_numpy().view(np.uint64) for c in ("gram", "context", "suffix"))
+    return CharModels.fit_columns(languages, plain.column("lang").to_numpy(), plain.column("n").to_numpy(), *hashes, plain.column("opens").to_numpy(), plain.column("count").to_numpy())
+
+
 def train(docs: DataFrame, learn: Column) -> Identifier:
     """Models and rejection bounds from the rows where ``learn`` holds and lang is not null."""
     text = F.col("text").cast("string").alias("text")
@@ -248,7 +268,7 @@ def train(docs: DataFrame, learn: Column) -> Identifier:
     kind = "lang string, n int, gram long, context long, suffix long, opens boolean, count long"
     grams = rows.select("lang", "text").mapInArrow(_count_batches, kind)
     summed = stored(grams.groupBy("lang", "n", "gram").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.first("opens").alias("opens"), F.sum("count").alias("count")), "grams")
-    models = CharModels.fit(summed.toPandas())
+    models = _gathered(summed)
     column = {lang: i for i, lang in enumerate(models.languages)}
     shared = docs.sparkSession.sparkContext.broadcast(models)
 

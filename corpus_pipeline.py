@@ -40,7 +40,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard index of 0.8 or more) the smallest doc_id stays."""
+    """Of each group of near copies (five-word shingles, Jaccard index of 0.8 or more) the smallest doc_id stays.
+
+    Fingerprints and multi-index hashing fetch the first candidates, a prefix filter all others; both are compared exactly.
+    """
     _begin(spark)
     return without_similar(docs)
 

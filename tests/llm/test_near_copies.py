@@ -67,3 +67,19 @@ def test_no_pair_is_lost_where_documents_share_lines(spark):
     met = [tuple(r) for r in near_copies._still_apart(entries).collect()]
     assert len(met) == len(set(met)) and len(similar) > 5
     assert similar <= set(met) and len(met) < 4 * len(similar) + 50
+
+
+def test_fingerprints_fetch_the_first_candidates(spark, monkeypatch):
+    base = prose(77, 900).split()
+    changed = base[:400] + ["edit"] + base[401:]
+    texts = [(1, " ".join(base)), (2, " ".join(changed)), (3, "  ".join(base)), (4, prose(78, 900)), (5, None), (6, ""), (7, " ")]
+    docs = documents(spark, texts)
+    prints = {r["doc_id"]: r["fp"] & (2**64 - 1) for r in near_copies.fingerprinted(docs, near_copies.SHINGLE).collect()}
+    close = {(a, b) for a in prints for b in prints if a < b and prints[a] and prints[b] and (prints[a] ^ prints[b]).bit_count() <= 2}
+    found = {tuple(r) for r in near_copies._fetched(docs.select("doc_id", "text")).collect()}
+    assert (1, 3) in found <= close
+    seen = []
+    real = near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda docs, pairs: (seen.append({tuple(r) for r in pairs.collect()}), real(docs, pairs))[1])
+    assert {r[0] for r in near_copies.without_similar(docs).select("doc_id").collect()} == {1, 4, 5, 6, 7}
+    assert found <= seen[0]  # all that fingerprints fetch is compared exactly

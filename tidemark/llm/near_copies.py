@@ -6,8 +6,10 @@ In any common order of shingles, two sets that similar share one within their le
 shingle in a sample of documents, then by hash: it only decides how many pairs are compared, never which are found.
 Shingles that no two documents share leave in the one shuffle that all leading shingles take.
 
-First each document is compared with one other, that shares most of its leading shingles among the smallest documents
-of these; what this links is one component. Rounds of one comparison with a document of another component follow while
+First SimHash fingerprints over the same shingles and multi-index hashing (``simhash.links``) fetch candidates, and each
+document gets one other that shares most of its leading shingles among the smallest documents of these. All are compared
+on their whole sets; what this links is one component. Fingerprints of similar sets often differ in more bits than any
+usable radius, so they only begin the search and the prefix filter ends it. Rounds of one comparison with a document of another component follow while
 they link anything, and only pairs of components that are still apart remain for the last comparison.
 How many leading shingles two sets share bounds how much they can have in common at all, so few pairs are compared.
 The last comparison meets a pair at the first leading shingle it shares: where the shingles before are the same on both
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import all_columns, mix64, pieces, raw_bytes, split_by_keys, stored
-from tidemark.llm.simhash import components
+from tidemark.llm.simhash import components, fingerprinted, links
 from tidemark.llm.words import VISIBLE, Words, grams
 
 SHINGLE = 5
@@ -171,6 +173,17 @@ def _still_apart(named: DataFrame) -> DataFrame:
     return counted.where(_can_be_similar("n", "m", "both")).select("a", "b")
 
 
+def _fetched(docs: DataFrame) -> DataFrame:
+    """(a, b): what fingerprints fetch. Each document meets the smallest one of its own fingerprint, and these meet where
+    their fingerprints are linked. Fingerprint zero, that of texts without words, takes no part."""
+    rows = stored(fingerprinted(docs, SHINGLE).where("fp <> 0"), "fingerprints")
+    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    own = rows.join(nodes, "fp").where("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    left, right = (nodes.select(F.col("fp").alias(k), F.col("first").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    between = links(nodes).join(left, "a").join(right, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return own.union(between).distinct()
+
+
 def similar_components(docs: DataFrame) -> DataFrame:
     """(node, root): every doc_id that has a near copy, and the smallest doc_id that near copies reach from it."""
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -184,7 +197,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     tops = tops.join(least, "h").select("h", "doc_id", "n", F.col("top.doc_id").alias("first"), F.col("top.n").alias("m"))
     stars = entries.drop("place").unionByName(tops).where("first < doc_id").groupBy("doc_id", "n", "first", "m").agg(F.count("*").alias("both"))
     best = stars.where(_can_be_similar("n", "m", "both")).groupBy("doc_id").agg(F.max_by("first", F.struct("both", -F.col("first"))).alias("first"))
-    tried = stored(best.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), "partners")
+    tried = stored(best.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).union(_fetched(docs)).distinct(), "partners")
     near = _verified(docs, tried)
     named = _named(entries, near)
     for _ in range(ROUNDS):

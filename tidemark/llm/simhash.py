@@ -50,8 +50,8 @@ def _majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """64-bit SimHash of each text over its word shingles."""
+def fingerprints_of(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """64-bit SimHash of each text over its shingles of ``size`` words."""
     words = Words.of(data, offsets, VISIBLE)
     lengths = words.ends - words.starts
     places = np.cumsum(lengths + 1) - (lengths + 1)  # every word followed by one space
@@ -59,22 +59,22 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     joined[np.repeat(places, lengths) + inside] = words.data[np.repeat(words.starts, lengths) + inside]
     counts = words.counts()
-    shingles = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
+    shingles = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     first = np.concatenate([[0], np.cumsum(shingles)])
     opens = np.repeat(words.first[:-1], shingles) + np.arange(first[-1]) - np.repeat(first[:-1], shingles)
-    closes = opens + np.repeat(np.minimum(counts, SHINGLE), shingles) - 1
+    closes = opens + np.repeat(np.minimum(counts, size), shingles) - 1
     text, digest = joined.tobytes(), xxhash.xxh64_intdigest
     spans = zip(places[opens].tolist(), (places[closes] + lengths[closes]).tolist())
     hashes = np.fromiter((digest(text[a:b], SEED) for a, b in spans), np.uint64, int(first[-1]))
     return _majority(hashes, first)
 
 
-def fingerprinted(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row."""
+def fingerprinted(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp) of every row, over shingles of ``size`` words."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", BATCH_BYTES):
-            found = fingerprints_of(*raw_bytes(batch.column("text")))
+            found = fingerprints_of(*raw_bytes(batch.column("text")), size)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(hashed, "doc_id long, fp long")

@@ -6,14 +6,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import forests
 from tidemark.operators.prep import check_schema
 from tidemark.operators.scoring import LinearModel
 from tidemark.sources.workspace import fresh_folder
@@ -21,8 +21,9 @@ from tidemark.sources.workspace import fresh_folder
 
 #: Classes of a model at most: each has a row of weights on the driver.
 MAX_CLASSES = 10_000
-#: Bytes of a forest's nodes at most that are sent to every task.
+#: Bytes of a tree's nodes at most that are sent to every task, and of the trees that are sent together.
 FOREST_BYTES = 1 << 28
+TOGETHER_BYTES = 1 << 25
 FOREST = "model_name string, version int, tree int, node int, feature int, threshold double, left int, right int, share array<double>, classes array<int>, width int"
 
 
@@ -96,84 +97,108 @@ def train_forest(
     max_depth: int | None = None,
     min_leaf: int = 1,
     seed: int = 42,
-) -> PipelineModel:
-    """Random forest; an unlimited depth becomes 30, the deepest Spark grows."""
+) -> forests.Forest:
+    """Random forest; an unlimited depth becomes 30. Its nodes are a stored table, see ``forests``."""
     check_schema(df, [*features, label])
-    forest = RandomForestClassifier(
-        featuresCol="_features",
-        labelCol=label,
-        predictionCol="predicted",
-        probabilityCol="probabilities",
-        rawPredictionCol="votes",
-        numTrees=trees,
-        maxDepth=30 if max_depth is None else max_depth,
-        minInstancesPerNode=min_leaf,
-        seed=seed,
-    )
-    return Pipeline(stages=[forest]).fit(_vectors(df, features))
+    depth = 30 if max_depth is None else max_depth
+    return forests.grow(df, _array(df, features), label, trees, depth, min_leaf, seed)
 
 
-def forest_predictions(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Adds ``predicted_class`` and ``prediction_probability``."""
-    scored = model.transform(_vectors(df, features))
-    best = F.array_max(vector_to_array("probabilities"))
-    kept = scored.withColumns({"predicted_class": F.col("predicted").cast("int"), "prediction_probability": best})
+def _array(df: DataFrame, features: Sequence[str]) -> Column:
+    if len(features) == 1 and isinstance(df.schema[features[0]].dataType, T.ArrayType):
+        return F.col(features[0]).cast("array<double>")
+    return F.array(*[F.col(f).cast("double") for f in features])
+
+
+def forest_predictions(model: forests.Forest, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Adds ``predicted_class`` and ``prediction_probability``. Rows are stored with a number, by which votes come back."""
+    folder = fresh_folder(df.sparkSession, "rows")
+    marked = df.withColumn("_row", F.monotonically_increasing_id())
+    marked.write.parquet(folder)
+    rows = df.sparkSession.read.schema(marked.schema).parquet(folder)
+    scored = rows.join(forests.votes(model, rows, _array(df, features), "_row"), "_row")
+    best = F.array_max("p")
+    kept = scored.withColumns({"predicted_class": (F.array_position("p", best) - 1).cast("int"), "prediction_probability": best})
     return kept.select(*df.columns, "predicted_class", "prediction_probability")
 
 
-def forest_table(model: PipelineModel, spark: SparkSession, classes: Sequence[int], name: str = "forest", version: int = 1) -> DataFrame:
+def forest_table(model: forests.Forest, spark: SparkSession, classes: Sequence[int], name: str = "forest", version: int = 1) -> DataFrame:
     """The nodes of a forest as rows (``FOREST``), to be kept by name and version like coefficients.
 
     A leaf has feature -1 and no children; ``share`` holds the class shares of the training rows that came to the node,
-    in the order of ``classes``. The rows are read from the trees that the model writes, never gathered on the driver.
+    in the order of ``classes``. The rows come from the subtrees' table, never gathered on the driver.
     """
-    forest = model.stages[-1]
-    folder = fresh_folder(spark, "forest")
-    forest.write().save(folder)
-    nodes = spark.read.parquet(f"{folder}/data").select("treeID", "nodeData.*")
-    total = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
-    leaf = F.col("leftChild") < 0
-    return nodes.select(
+    return forests.numbered(model, spark).select(
         F.lit(name).alias("model_name"),
         F.lit(version).alias("version"),
-        F.col("treeID").cast("int").alias("tree"),
-        F.col("id").cast("int").alias("node"),
-        F.when(leaf, F.lit(-1)).otherwise(F.col("split.featureIndex")).cast("int").alias("feature"),
-        F.when(~leaf, F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
-        F.col("leftChild").cast("int").alias("left"),
-        F.col("rightChild").cast("int").alias("right"),
-        F.transform("impurityStats", lambda x: x / F.when(total > 0, total).otherwise(F.lit(1.0))).alias("share"),
+        "tree",
+        "node",
+        "feature",
+        "threshold",
+        "left",
+        "right",
+        "share",
         F.array(*[F.lit(int(c)) for c in classes]).alias("classes"),
-        F.lit(forest.numFeatures).alias("width"),
+        F.lit(len(model.thresholds)).alias("width"),
     )
 
 
 def score_forest(df: DataFrame, nodes: DataFrame, features: Sequence[str], name: str = "forest", version: int = 1) -> DataFrame:
     """Adds ``predicted_class`` and ``prediction_probability`` by walking the trees of one version of a forest table.
 
-    Whole Arrow batches walk a tree at a time, level by level. The nodes are sent to every task; a forest beyond
-    ``FOREST_BYTES`` is an error. Rows with a missing or not finite feature, or with another number of them, get NULLs.
+    Whole Arrow batches walk a tree at a time, level by level. Trees are sent to every task, as many together
+    as ``TOGETHER_BYTES`` allow (one at least); the votes are stored before the next ones. A tree beyond ``FOREST_BYTES``
+    is an error. Rows with a missing or not finite feature, or with another number of them, get NULLs.
     """
     check_schema(df, features)
     own = nodes.filter((F.col("model_name") == name) & (F.col("version") == version))
-    count, labels = own.agg(F.count("*"), F.count_distinct("tree")).first()
-    if not count:
-        raise ValueError(f"forest {name} has no version {version}")
     first = own.first()
+    if first is None:
+        raise ValueError(f"forest {name} has no version {version}")
     classes, width = first["classes"], first["width"]
-    if count * (24 + 8 * len(classes)) > FOREST_BYTES:
-        raise ValueError(f"forest {name} version {version} has {count} nodes, too many to send to every task")
-    table = own.select("tree", "node", "feature", "threshold", "left", "right", "share").orderBy("tree", "node").toArrow().combine_chunks()
+    sizes = {r["tree"]: r["count"] for r in own.groupBy("tree").count().collect()}
+    groups, room = [], 0
+    for tree, count in sorted(sizes.items()):
+        needed = count * (24 + 8 * len(classes))
+        if needed > FOREST_BYTES:
+            raise ValueError(f"tree {tree} of forest {name} version {version} has {count} nodes, too many to send to every task")
+        if needed > room:
+            groups.append([])
+            room = TOGETHER_BYTES
+        groups[-1].append(tree)
+        room -= needed
+    scored = df
+    for i, group in enumerate(groups):
+        votes, sent = _tree_votes(df.sparkSession, own.where(F.col("tree").between(group[0], group[-1])), width, len(classes))
+        votes = votes(_array(df, features))
+        scored = scored.withColumn("_p", F.zip_with("_p", votes, lambda a, b: a + b) if i else votes)
+        if i + 1 < len(groups):
+            folder = fresh_folder(df.sparkSession, "votes")
+            scored.write.parquet(folder)
+            scored = df.sparkSession.read.schema(scored.schema).parquet(folder)
+            sent.destroy()
+    total = F.aggregate("_p", F.lit(0.0), lambda a, x: a + x)
+    scored = scored.withColumn("_p", F.transform("_p", lambda v: v / F.greatest(total, F.lit(1e-300))))
+    best = F.array_max("_p")
+    ids = F.array(*[F.lit(int(c)) for c in classes])
+    return scored.withColumns(
+        {"predicted_class": F.get(ids, (F.array_position("_p", best) - 1).cast("int")), "prediction_probability": best}
+    ).drop("_p")
+
+
+def _tree_votes(spark: SparkSession, nodes: DataFrame, width: int, classes: int):
+    """The sums of class shares over the trees of ``nodes``, as a function of an array of features, and the broadcast it reads."""
+    table = nodes.select("tree", "node", "feature", "threshold", "left", "right", "share").orderBy("tree", "node").toArrow().combine_chunks()
     tree = table.column("tree").to_numpy()
-    begin = np.searchsorted(tree, np.arange(labels))
-    sent = df.sparkSession.sparkContext.broadcast(
+    begin = np.searchsorted(tree, tree)
+    sent = spark.sparkContext.broadcast(
         {
-            "begin": begin,
+            "begin": np.unique(begin),
             "feature": table.column("feature").to_numpy(),
             "threshold": table.column("threshold").fill_null(0.0).to_numpy(),
-            "left": table.column("left").to_numpy() + begin[tree],
-            "right": table.column("right").to_numpy() + begin[tree],
-            "share": np.array(table.column("share").to_pylist()).reshape(count, len(classes)),
+            "left": table.column("left").to_numpy() + begin,
+            "right": table.column("right").to_numpy() + begin,
+            "share": table.column("share").combine_chunks().flatten().to_numpy().reshape(-1, classes),
         }
     )
 
@@ -183,28 +208,12 @@ def score_forest(df: DataFrame, nodes: DataFrame, features: Sequence[str], name:
         blank = np.full(width, np.nan)
         for batch in batches:
             x = np.array([blank if v is None or len(v) != width else np.asarray(v, "float64") for v in batch]).reshape(-1, width)
-            total = np.zeros((len(x), len(classes)))
+            total = np.zeros((len(x), classes))
             with np.errstate(invalid="ignore"):
                 for root in trees["begin"]:
-                    at = np.full(len(x), root)
-                    walking = np.flatnonzero(trees["feature"][at] >= 0)
-                    while len(walking):
-                        node = at[walking]
-                        left = x[walking, trees["feature"][node]] <= trees["threshold"][node]
-                        at[walking] = np.where(left, trees["left"][node], trees["right"][node])
-                        walking = walking[trees["feature"][at[walking]] >= 0]
-                    total += trees["share"][at]
+                    leaf = forests.walk(x, np.full(len(x), root), *(trees[c] for c in ("feature", "threshold", "left", "right")))
+                    total += trees["share"][leaf]
             known = np.isfinite(x).all(axis=1)
-            shares = total / np.maximum(total.sum(axis=1, keepdims=True), 1e-300)
-            yield pd.Series([s if k else None for s, k in zip(shares, known)], dtype="object")
+            yield pd.Series([s if k else None for s, k in zip(total, known)], dtype="object")
 
-    if len(features) == 1 and isinstance(df.schema[features[0]].dataType, T.ArrayType):
-        inputs = F.col(features[0]).cast("array<double>")
-    else:
-        inputs = F.array(*[F.col(f).cast("double") for f in features])
-    scored = df.withColumn("_p", votes(inputs))
-    best = F.array_max("_p")
-    ids = F.array(*[F.lit(int(c)) for c in classes])
-    return scored.withColumns(
-        {"predicted_class": F.get(ids, (F.array_position("_p", best) - 1).cast("int")), "prediction_probability": best}
-    ).drop("_p")
+    return votes, sent

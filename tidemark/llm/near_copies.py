@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import all_columns, mix64, pieces, raw_bytes, split_by_keys, stored
+from tidemark.llm.common import all_columns, mix64, pieces, raw_bytes, release_shuffles, split_by_keys, stored
 from tidemark.llm.simhash import components, fingerprinted, links
 from tidemark.llm.words import VISIBLE, Words, grams
 
@@ -146,9 +146,19 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "similar")
 
 
-def _named(entries: DataFrame, near: DataFrame) -> DataFrame:
+def _merged(joined: DataFrame, near: DataFrame) -> DataFrame:
+    """(node, root) with the links ``near`` added: only the roots that these link are searched for components again."""
+    left, right = (joined.select(F.col("node").alias(k), F.col("root").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    ends = near.join(left, "a", "left").join(right, "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    moved = components(ends.where("a <> b")).select(F.col("node").alias("root"), F.col("root").alias("lower"))
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct().join(joined, "node", "left_anti")
+    every = joined.union(nodes.select("node", F.col("node").alias("root")))
+    return stored(every.join(moved, "root", "left").select("node", F.coalesce("lower", "root").alias("root")), "joined")
+
+
+def _named(entries: DataFrame, joined: DataFrame) -> DataFrame:
     """(h, doc_id, n, place, root): the entries with the component of their document, its own id where it has no link."""
-    joined = components(near).withColumnRenamed("node", "doc_id")
+    joined = joined.withColumnRenamed("node", "doc_id")
     named = entries.select("h", "doc_id", "n", "place").join(joined, "doc_id", "left")
     return stored(named.select("h", "doc_id", "n", "place", F.coalesce("root", "doc_id").alias("root")), "named")
 
@@ -198,9 +208,10 @@ def similar_components(docs: DataFrame) -> DataFrame:
     stars = entries.drop("place").unionByName(tops).where("first < doc_id").groupBy("doc_id", "n", "first", "m").agg(F.count("*").alias("both"))
     best = stars.where(_can_be_similar("n", "m", "both")).groupBy("doc_id").agg(F.max_by("first", F.struct("both", -F.col("first"))).alias("first"))
     tried = stored(best.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).union(_fetched(docs)).distinct(), "partners")
-    near = _verified(docs, tried)
-    named = _named(entries, near)
+    joined = components(_verified(docs, tried))
     for _ in range(ROUNDS):
+        named = _named(entries, joined)
+        release_shuffles(docs.sparkSession)
         # what is still apart is compared with one document of another component, before all such pairs are
         one = F.struct("root", "doc_id", "n")
         sides = named.groupBy("h").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.root < high.root")
@@ -213,9 +224,10 @@ def similar_components(docs: DataFrame) -> DataFrame:
         more = _verified(docs, pairs)
         if more.isEmpty():
             break
-        near, tried = near.union(more), tried.union(pairs)
-        named = _named(entries, near)
-    return components(near.union(_verified(docs, _still_apart(named))))
+        joined, tried = _merged(joined, more), tried.union(pairs)
+    else:
+        named = _named(entries, joined)
+    return _merged(joined, _verified(docs, _still_apart(named)))
 
 
 def without_similar(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import all_columns, pieces, raw_bytes, stored, unsigned_hex
+from tidemark.llm.common import all_columns, pieces, raw_bytes, release_shuffles, stored, unsigned_hex
 from tidemark.llm.words import VISIBLE, Words
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -106,19 +106,24 @@ def links(nodes: DataFrame) -> DataFrame:
     return tables.union(whole).where("fp <> other").select(*pair).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of the distinct edges (a, b) is a centre a or hangs on one centre alone."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(0).alias("hung")).union(edges.select("b", F.lit(1)))
+    sides = ends.groupBy("node").agg(F.min("hung").alias("low"), F.sum("hung").alias("times"))
+    return sides.where("times > 1 OR times > low").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b): root is the smallest node it reaches.
 
     Every round hangs larger neighbours on the smallest one (large star), then the rest of a node's smaller
-    neighbours (small star), until the edges are stars. Each round is stored, so that none is computed again.
+    neighbours (small star), until the edges are stars. Each round is stored, so that none is computed again, and the
+    driver gives back what the one before left.
     """
 
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
     edges = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    before = state(edges)
-    while before[0]:
+    while not _are_stars(edges):
+        release_shuffles(edges.sparkSession)
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = stored(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "stars")
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b").distinct()
@@ -126,10 +131,6 @@ def components(edges: DataFrame) -> DataFrame:
         least = stored(large.groupBy("b").agg(F.min("a").alias("m")), "stars")
         hung = large.join(least, "b").select(F.col("m").alias("x"), F.col("a").alias("y")).where("x <> y").union(least.select("m", "b"))
         edges = stored(hung.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
-        now = state(edges)
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(edges.select("a", "a").distinct())
 
 

@@ -156,3 +156,16 @@ def test_the_driver_holds_columns_not_an_object_for_each_count(spark):
     peak, size = tracemalloc.get_traced_memory()[1], len(found.models.grams)
     tracemalloc.stop()
     assert size > 40_000 and peak < 400 * size, (size, peak)
+
+
+def test_letters_are_found_without_a_list_of_all_characters():
+    language._letters.cache_clear()
+    tracemalloc.start()
+    is_letter, lower = language._letters()
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 16 << 20
+    assert lower.dtype == np.uint32 and is_letter.dtype == bool and len(is_letter) == len(lower) == 0x110000
+    for point in [*range(0x3000), 0x4E2D, 0xD800, 0x10400, 0x10FFFF]:
+        low = chr(point).lower()
+        assert is_letter[point] == chr(point).isalpha() and lower[point] == (ord(low) if len(low) == 1 else point)

@@ -1,4 +1,5 @@
 import os
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -9,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.frames import TEXTS, documents
+from tidemark.llm import tokens
 from tidemark.llm.packing import QUANTUM, pack, solve
 from tidemark.llm.tokens import encode
 
@@ -30,6 +32,35 @@ def test_ids_are_those_of_the_tokenizer(tokenizer):
             assert ids[bounds[i] : bounds[i + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_ids_in_steps(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "STEP", 7)
+    texts = [*ODD, "one two three four five six seven eight nine ten one two", "", "a b c d e f g", "it's <|endoftext|>"]
+    ids, bounds = encode(pa.array(texts, pa.string()))
+    assert ids.dtype == np.int32 and len(ids) == bounds[-1]
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_tokenizer_is_loaded_where_a_text_needs_it():
+    tokens._whole.cache_clear()
+    encode(pa.array(["plain words only", None, ""]))
+    assert tokens._whole.cache_info().currsize == 0
+    encode(pa.array(["two  spaces  b"]))
+    assert tokens._whole.cache_info().currsize == 1
+
+
+def test_encoding_holds_a_few_times_the_text():
+    words = np.random.default_rng(4).integers(97, 123, (1 << 17, 7)).astype(np.uint8)
+    words[:, -1] = 32
+    text = words.tobytes().decode().strip()
+    encode(pa.array(["warm up"]))
+    tracemalloc.start()
+    encode(pa.array([text]))
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 35 * len(text)
+
+
 def test_pieces_cover_documents_and_sequences(spark, tokenizer):
     rows = pack(documents(spark), keep_ids=True).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)

@@ -40,9 +40,14 @@ ROOT = np.uint64(1)
 @lru_cache(maxsize=1)
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """For every code point: whether it is a letter, and its lower case where that is one character."""
-    points = [chr(i) for i in range(sys.maxunicode + 1)]
-    lower = [p.lower() for p in points]
-    return np.array([p.isalpha() for p in points]), np.array([ord(low) if len(low) == 1 else i for i, low in enumerate(lower)], np.uint32)
+    is_letter, lower = np.zeros(sys.maxunicode + 1, bool), np.arange(sys.maxunicode + 1, dtype=np.uint32)
+    for i in range(sys.maxunicode + 1):  # no list of all characters: every worker would hold it, if only for a moment
+        point = chr(i)
+        is_letter[i] = point.isalpha()
+        low = point.lower()
+        if low != point and len(low) == 1:
+            lower[i] = ord(low)
+    return is_letter, lower
 
 
 @dataclass(frozen=True)

@@ -27,6 +27,7 @@ QUANTUM = 16
 END = 1
 #: The LP ends when no pattern is worth more than this many sequences: it is then within that factor of its optimum.
 TOLERANCE = 1.0005
+BATCH_BYTES = 1 << 21
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -126,7 +127,7 @@ def token_pieces(docs: DataFrame, length: int = LENGTH, folder: str | None = Non
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 4 << 20):
+        for batch in pieces(batches, "text", BATCH_BYTES):
             ids, offsets = encode(batch.column("text"), folder)
             out: list[list] = [[] for _ in names]
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):

@@ -77,6 +77,26 @@ def test_links_whatever_is_crowded(spark, monkeypatch, crowd):
     assert found == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 2}
 
 
+@pytest.mark.parametrize("crowd", [0, 512])
+def test_balls_are_not_broadcast(spark, monkeypatch, crowd):
+    """Spark takes 33 or 2,081 rows after an explode for the one before it: broadcast, they fill the driver."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rng = random.Random(3)
+    values = {rng.getrandbits(20) for _ in range(300)} | {rng.getrandbits(63) for _ in range(300)}
+    found = links(spark.createDataFrame([(v,) for v in values], "fp long"))
+    lines = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    balls = [i for i, line in enumerate(lines) if "Generate explode" in line]
+    assert len(balls) == 2
+    for i in balls:
+        depth, above = lines[i].index("Generate"), []
+        for line in reversed(lines[:i]):
+            at = re.search(r"[A-Z]", line).start()
+            if at < depth:
+                depth = at
+                above.append(line[at:])
+        assert any(line.startswith("SortMergeJoin") for line in above) and not any(line.startswith("Broadcast") for line in above)
+
+
 def test_components_of_chains_and_hubs(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, x) for x in range(501, 540)] + [(520, 700), (1, 2), (2, 1)]

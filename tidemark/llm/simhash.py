@@ -87,7 +87,11 @@ def _ball(bits: int, radius: int) -> list[int]:
 
 
 def links(nodes: DataFrame) -> DataFrame:
-    """(a, b), a < b: all pairs of the distinct values in ``fp`` that differ in at most ``RADIUS`` bits."""
+    """(a, b), a < b: all pairs of the distinct values in ``fp`` that differ in at most ``RADIUS`` bits.
+
+    Spark takes rows after an explode for no larger than before it, so what looks up a ball (33 or 2,081 rows for one) is
+    joined by sorting: it would be broadcast while the table it comes from is below the limit.
+    """
     high, low = F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(0xFFFFFFFF)
     keyed = nodes.select("fp", high.alias("high"), low.alias("low"))
     crowded = [keyed.groupBy(k).agg(F.count("*").alias("n")).where(f"n > {CROWD}").select(k) for k in ("high", "low")]
@@ -98,11 +102,11 @@ def links(nodes: DataFrame) -> DataFrame:
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= RADIUS
     array = lambda masks: F.explode(F.array(*map(F.lit, masks)))
     around = calm.select("fp", "high", array(_ball(32, 1)).alias("mask")).select("fp", F.col("high").bitwiseXOR(F.col("mask")).alias("key"))
-    firsts = around.join(calm.select(F.col("fp").alias("other"), F.col("high").alias("key")), "key")
+    firsts = around.hint("merge").join(calm.select(F.col("fp").alias("other"), F.col("high").alias("key")), "key")
     seconds = calm.select("fp", F.col("low").alias("key")).join(calm.select(F.col("fp").alias("other"), F.col("low").alias("key")), "key")
     tables = firsts.select("fp", "other").union(seconds.select("fp", "other")).where(close)
     whole = busy.select("fp", array(_ball(64, RADIUS)).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("other"))
-    whole = whole.join(nodes.select(F.col("fp").alias("other")), "other").select("fp", "other")
+    whole = whole.hint("merge").join(nodes.select(F.col("fp").alias("other")), "other").select("fp", "other")
     return tables.union(whole).where("fp <> other").select(*pair).distinct()
 
 

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.frames import TEXTS, documents, ids, prose
-from tidemark.llm import substring_dedup
+from tidemark.llm import common, substring_dedup
 from tidemark.llm.substring_dedup import without_repeats
 from tidemark.llm.suffixes import cover_ranks, equal_runs, prefixes, sorted_bucket
 
@@ -146,3 +146,35 @@ def test_segments_that_cannot_meet_are_not_sorted():
         h = np.zeros(2, np.int64)
         may = substring_dedup._meeting(h, data, np.array([0, 84]), np.array([84, 84]), np.array([anchor, anchor]))
         assert may.all(), cut
+
+
+@pytest.mark.parametrize("bits", [1 << 13, 1 << 27])
+def test_segments_that_leave_do_not_depend_on_the_size_of_a_filter(spark, monkeypatch, tmp_path, bits):
+    """More shared anchors than one filter holds let no other segments through, and no table of segments stays."""
+    monkeypatch.setattr(common, "FILTER_BITS", bits)
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", 20_000)
+    kept, folder, store = {}, str(tmp_path / "cut"), substring_dedup.stored
+
+    def counting(df, purpose, *rest, **named):
+        out = store(df, purpose, *rest, **named)
+        kept[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(substring_dedup, "stored", counting)
+    monkeypatch.setattr(substring_dedup, "fresh_folder", lambda _, purpose: f"{folder}-{purpose}", raising=False)
+    shared = [prose(700 + i, 400) for i in range(6)]
+    texts = [(i, prose(2000 + i, 120)) for i in range(150)] + [(1000 + i, f"{prose(3000 + i, 5)} {shared[i % 6]}") for i in range(18)]
+    # sixteen bytes that all documents hold, between bytes of their own
+    texts = [(i, f"{text} {prose(6000 + i, 9)}{'=' * 16}{prose(9000 + i, 9)}") for i, text in texts]
+    assert ids(without_repeats(documents(spark, texts).repartition(4)), *COLUMNS) == brute(texts)
+    everything = sum(len(substring_dedup.segments(*common.raw_bytes(pa.array([t])))[0]) for _, t in texts)
+    within = sum(len(substring_dedup.segments(*common.raw_bytes(pa.array([shared[i % 6]])))[0]) for i in range(18))
+    assert within < kept["segments"] + 18 * 4 and kept["segments"] < within + 0.1 * (everything - within)
+    assert not list(tmp_path.iterdir())
+
+
+def test_strings_are_not_broadcast(spark):
+    rows = [(h, bytes([65 + h]) * 40 + prose(h, 9).encode()[:40], h, 1, 9) for h in range(20)]
+    distinct = substring_dedup.stored(spark.createDataFrame(rows, "h long, segment binary, key long, low long, high long"), "crowds")
+    plan = substring_dedup._least_holders_by_string(distinct)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -1,7 +1,9 @@
 """Removal of repeated substrings by blockwise suffix sorting.
 
 Every ``LENGTH``-byte string has one anchor: the least hash among its ``GRAM``-byte grams. Equal strings have equal
-anchors, so anchors that no two documents share need no sorting; they are found by the Golomb-coded exchange.
+anchors and agree on ``_SIDE`` bytes on one side of it at least. Anchors that no two documents hold with such a side need
+no sorting; the others are found by the Golomb-coded exchange, of both sides: sixteen bytes alone meet by chance the
+more often the larger the table is.
 Neighbouring strings with one anchor form a segment of text, and the segments of an anchor are a suffix bucket
 that can be sorted anywhere: each task sorts its buckets block by block with a difference cover, which bounds
 memory by the block. Equal segments are combined before the shuffle, so a passage that a third of all
@@ -23,13 +25,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import KeyFilter, mix64, parallelism, pieces, raw_bytes, release_shuffles, stored, text_or_empty
+from tidemark.llm.common import RangeFilters, drop_folder, mix64, parallelism, pieces, raw_bytes, release_shuffles, stored, text_or_empty
 from tidemark.llm.golomb import by_owner, decode, encode
 from tidemark.llm.suffixes import PERIOD, equal_runs
 from tidemark.llm.words import rolling
+from tidemark.sources.workspace import fresh_folder
 
 LENGTH, GRAM = 50, 16
 BATCH_BYTES = 2 << 20
+#: Bytes of text whose segments are looked up together where the filter has several parts.
+GROUP_BYTES = 16 << 20
 #: Bytes of segments in a block, and suffixes in a bucket that is sorted at once.
 BLOCK_BYTES, BUCKET_SUFFIXES = 2 << 20, 1 << 18
 #: A segment's bytes at most: its anchor lies in all of its strings.
@@ -39,7 +44,7 @@ _SIDE = (LENGTH - GRAM) // 2
 _BASE = 0x9E3779B97F4A7C15 | 1
 #: Low bits that hold a position while minima are taken; texts beyond are handled by wider ones.
 _PLACE_BITS = 22
-#: Bits of an anchor hash that are exchanged.
+#: Bits of a hash that are exchanged.
 _SENT_BITS = 48
 
 
@@ -80,18 +85,30 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts[first], starts[np.append(first[1:], len(starts)) - 1], at[first], hashes[at[first]]
 
 
-def _shared_anchors(docs: DataFrame) -> DataFrame:
-    """Column h: the leading bits of anchor hashes that occur in two documents or more (and a few others)."""
+def _sides(data: np.ndarray, first: np.ndarray, last: np.ndarray, anchor: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For the left and the right side of the anchors: the segments that have ``_SIDE`` bytes there, and the leading bits
+    of a hash of anchor and side. Every string of a segment has one side or both, and so has its segment."""
+    if not len(first):
+        return [(np.empty(0, np.int64), np.empty(0, np.uint64))] * 2
+    hashes, cut = _gram_hashes(data, GRAM + _SIDE), np.uint64(64 - _SENT_BITS)
+    left = np.flatnonzero(anchor - first >= _SIDE)
+    right = np.flatnonzero(anchor + GRAM + _SIDE <= last + LENGTH)
+    return [(left, hashes[anchor[left] - _SIDE] >> cut << cut), (right, mix64(~hashes[anchor[right]]) >> cut << cut)]
+
+
+def _shared_sides(docs: DataFrame) -> DataFrame:
+    """Column h: the leading bits of the hashes of ``_sides`` that occur in two documents or more (and a few others)."""
     owners = parallelism(docs.sparkSession)
-    cut = np.uint64(64 - _SENT_BITS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ids = [], []
         for batch in pieces(batches, "text", BATCH_BYTES):
             data, offsets = raw_bytes(batch.column("text"))
-            first, _, _, found = segments(data, offsets)
-            hashes.append(found >> cut)
-            ids.append(batch.column("doc_id").to_numpy()[np.searchsorted(offsets, first, "right") - 1])
+            first, last, anchor, _ = segments(data, offsets)
+            doc = batch.column("doc_id").to_numpy()[np.searchsorted(offsets, first, "right") - 1]
+            for rows, found in _sides(data, first, last, anchor):
+                hashes.append(found)
+                ids.append(doc[rows])
         h, doc = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (hashes, ids))
         order = np.lexsort((doc, h))
         h, doc = h[order].astype(np.uint64), doc[order]
@@ -100,7 +117,7 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
         repeated = np.unique(h[1:][same & (doc[1:] != doc[:-1])])
         part, rows = TaskContext.get().partitionId(), []
         for kind, values in ((0, distinct), (1, repeated)):
-            rows += [(part, kind, owner, encode(own)) for owner, own in by_owner(values << cut, owners)]
+            rows += [(part, kind, owner, encode(own)) for owner, own in by_owner(values, owners)]
         columns = list(zip(*rows)) or [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["part", "kind", "owner", "blob"])
 
@@ -112,7 +129,20 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
         return pa.table({"h": shared.view(np.int64)})
 
     sent = docs.mapInArrow(send, "part int, kind int, owner int, blob binary")
-    return stored(sent.groupBy("owner").applyInArrow(answer, "h long"), "anchors")
+    return stored(sent.groupBy("owner").applyInArrow(answer, "h long"), "sides")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of about ``size`` bytes of text, one batch at least."""
+    held, used = [], 0
+    for batch in batches:
+        held.append(batch)
+        used += int(raw_bytes(batch.column("text"))[1][-1])
+        if used >= size:
+            yield held
+            held, used = [], 0
+    if held:
+        yield held
 
 
 def _later_copies(rows: DataFrame) -> DataFrame:
@@ -229,7 +259,8 @@ def _least_holders_by_string(distinct: DataFrame) -> DataFrame:
     places = F.sequence(F.lit(1), F.length("segment") - (LENGTH - 1))
     strings = distinct.select("h", "key", "low", "high", F.posexplode(F.transform(places, lambda i: F.substring(F.col("segment"), i, F.lit(LENGTH)))).alias("at", "string"))
     held = strings.groupBy("h", "string").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").drop("most")
-    lost = strings.join(held, ["h", "string"]).where("least < high")
+    # Spark takes exploded rows for as few as the segments: broadcast, they would fill the driver
+    lost = strings.join(held.hint("merge"), ["h", "string"]).where("least < high")
     one = F.struct(F.col("at").cast("long").alias("at"), (F.col("at") + 1).cast("long").alias("until"), "least")
     return lost.groupBy("h", "key").agg(F.collect_list(one).alias("runs")).select("h", "key", "runs.at", "runs.until", "runs.least")
 
@@ -241,40 +272,57 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", "row", "text")
-    shared = spark.sparkContext.broadcast(KeyFilter.build(_shared_anchors(docs.select("doc_id", "text"))))
-    cut = np.uint64(64 - _SENT_BITS)
+    shared = RangeFilters.build(_shared_sides(docs.select("doc_id", "text")))
+    together = GROUP_BYTES if len(shared.filters) > 1 else 0
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", BATCH_BYTES):
-            data, offsets = raw_bytes(batch.column("text"))
-            first, last, anchor, h = segments(data, offsets)
-            hit = shared.value.has(h >> cut << cut)
-            first, last, anchor, h = first[hit], last[hit], anchor[hit], h[hit]
-            text = np.searchsorted(offsets, first, "right") - 1
-            whole = data.tobytes()
-            found = pa.array([whole[a : b + LENGTH] for a, b in zip(first.tolist(), last.tolist())], pa.binary())
-            take = pa.array(text)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("row").take(take), pa.array(first - offsets[text]), pa.array((anchor - first).astype(np.int16)), pa.array(h.view(np.int64)), found], ["doc_id", "row", "start", "anchor", "h", "segment"])
+        for group in _groups(pieces(batches, "text", BATCH_BYTES), together):
+            found, sides = [], []
+            for batch in group:
+                data, offsets = raw_bytes(batch.column("text"))
+                found.append((batch, data, offsets, *segments(data, offsets)))
+                sides += _sides(data, *found[-1][3:6])
+            hits = shared.has_each([h for _, h in sides])
+            for i, (batch, data, offsets, first, last, anchor, h) in enumerate(found):
+                hit = np.zeros(len(first), bool)
+                for (rows, _), has in zip(sides[2 * i : 2 * i + 2], hits[2 * i : 2 * i + 2]):
+                    hit[rows[has]] = True
+                first, last, anchor, h = first[hit], last[hit], anchor[hit], h[hit]
+                text = np.searchsorted(offsets, first, "right") - 1
+                whole = data.tobytes()
+                cut = pa.array([whole[a : b + LENGTH] for a, b in zip(first.tolist(), last.tolist())], pa.binary())
+                take = pa.array(text)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("row").take(take), pa.array(first - offsets[text]), pa.array((anchor - first).astype(np.int16)), pa.array(h.view(np.int64)), cut], ["doc_id", "row", "start", "anchor", "h", "segment"])
 
     cuts = texts.mapInArrow(cut_out, "doc_id long, row long, start long, anchor short, h long, segment binary")
     release_shuffles(spark)
-    cuts = stored(cuts.withColumn("key", F.xxhash64("segment")), "segments", "zstd")
+    # tables that only this function reads; they are removed, and the shuffles behind them released, as soon as they served
+    place, later = fresh_folder(spark, "cut"), fresh_folder(spark, "distinct")
+    cuts = stored(cuts.withColumn("key", F.xxhash64("segment")), "segments", "zstd", place)
     crowded = _crowded_anchors(cuts)
 
     def distinct(how: str) -> DataFrame:
         least = F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("anchor").alias("anchor")
         return cuts.join(crowded, "h", how).groupBy("h", "segment", "key").agg(*least)
 
-    bucketed = distinct("left_anti").repartition("h").sortWithinPartitions("h").select("h", "segment", "low", "high", "key", "anchor")
-    sorted_ = stored(bucketed.mapInArrow(_least_holders, "h long, key long, at array<long>, until array<long>, least array<long>"), "holders")
-    split = stored(_least_holders_by_string(stored(distinct("left_semi"), "crowds", "zstd")), "strings")
+    each = stored(distinct("left_anti").select("h", "segment", "low", "high", "key", "anchor"), "calm", "zstd", later)
+    crowds = stored(distinct("left_semi"), "crowds", "zstd", later)
+    release_shuffles(spark)
+    bucketed = each.repartition("h").sortWithinPartitions("h")
+    sorted_ = stored(bucketed.mapInArrow(_least_holders, "h long, key long, at array<long>, until array<long>, least array<long>"), "holders", within=place)
+    split = stored(_least_holders_by_string(crowds), "strings", within=place)
     found = sorted_.unionByName(split)
+    drop_folder(spark, later)
     release_shuffles(spark)
     # a segment is known by the hash of its anchor and its own: a very common one is split by the skew join
     met = cuts.select("doc_id", "row", "start", "h", "key").join(found, ["h", "key"])
     ranges = F.arrays_zip("at", "until", "least")
     lost = F.transform(F.filter(ranges, lambda x: x["least"] < F.col("doc_id")), lambda x: F.struct((F.col("start") + x["at"]).alias("a"), (F.col("start") + x["until"] + (LENGTH - 1)).alias("b")))
-    return met.select("doc_id", "row", lost.alias("lost")).where(F.size("lost") > 0).groupBy("doc_id", "row").agg(F.flatten(F.collect_list("lost")).alias("spans"))
+    spans = met.select("doc_id", "row", lost.alias("lost")).where(F.size("lost") > 0).groupBy("doc_id", "row").agg(F.flatten(F.collect_list("lost")).alias("spans"))
+    spans = stored(spans, "spans", "zstd")
+    drop_folder(spark, place)
+    release_shuffles(spark)
+    return spans
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -83,3 +83,20 @@ def test_fingerprints_fetch_the_first_candidates(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "_verified", lambda docs, pairs: (seen.append({tuple(r) for r in pairs.collect()}), real(docs, pairs))[1])
     assert {r[0] for r in near_copies.without_similar(docs).select("doc_id").collect()} == {1, 4, 5, 6, 7}
     assert found <= seen[0]  # all that fingerprints fetch is compared exactly
+
+
+def test_fetching_candidates_broadcasts_no_exploded_rows(spark):
+    """Spark sizes the Hamming balls as the fingerprints they are around; only sorting joins them."""
+    docs = documents(spark, [(i, prose(8000 + i, 12)) for i in range(300)], clashing=False).select("doc_id", "text")
+    lines = near_copies._fetched(docs)._jdf.queryExecution().executedPlan().toString().split("\n")
+    balls = [i for i, line in enumerate(lines) if "Generate explode" in line]
+    assert balls
+    for i in balls:
+        depth = lines[i].index("Generate")
+        for line in reversed(lines[:i]):
+            at = next(k for k, c in enumerate(line) if c.isupper())
+            if at < depth:
+                depth = at
+                if "Join" in line or line[at:].startswith("Broadcast"):
+                    assert line[at:].startswith("SortMergeJoin")
+                    break
